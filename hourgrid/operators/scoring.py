@@ -20,14 +20,18 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
-def drop_nulls(df: DataFrame, names: list[str]) -> DataFrame:
-    """Rows with every named column present; NaN counts as absent."""
+def complete(df: DataFrame, names: list[str]) -> Column:
+    """True where every named column is present; NaN counts as absent."""
     keep = F.lit(True)
     for name in names:
         keep = keep & F.col(name).isNotNull()
         if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
             keep = keep & ~F.isnan(name)
-    return df.where(keep)
+    return keep
+
+
+def drop_nulls(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.where(complete(df, names))
 
 
 def before(df: DataFrame, cut: Column | str | dt.datetime) -> DataFrame:
