@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +12,10 @@ from pyspark.sql import functions as F
 class ExpressionModel:
     """``yhat`` as an expression over the feature columns."""
 
-    expression: Callable[[], Column]
+    expression: Column
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("yhat", self.expression().cast("double"))
+        return df.withColumn("yhat", self.expression.cast("double"))
 
 
 def _present(df: DataFrame, column: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid import schemas
@@ -62,20 +62,19 @@ def history_buffers(
 
 
 def features_from_buffer(state: DataFrame, ts: dt.datetime | str) -> DataFrame:
-    """Feature columns for hour ``ts`` from the values strictly before it."""
-    buf, hour = F.col("buf"), clock.ntz(ts)
-
-    def mean_of_last(n: int) -> Column:
-        return F.aggregate(F.slice(buf, -n, n), F.lit(0.0), lambda total, v: total + v) / F.lit(float(n))
-
-    return state.withColumns(
-        {
-            **{f"lag_{n}h": F.element_at(buf, -n) for n in LAG_HOURS},
-            **{f"roll_{n}h": mean_of_last(n) for n in ROLL_HOURS},
-            "pickup_hour": clock.hour_of_day(hour),
-            "pickup_dow": clock.day_of_week(hour),
-            "is_weekend": clock.is_weekend(hour),
-        }
+    """Feature columns for hour ``ts`` from the values strictly before it.
+
+    One ``selectExpr`` per forecast hour keeps a 24-step plan quick to build.
+    """
+    hour = dt.datetime.fromisoformat(str(ts))
+    sunday_first = hour.isoweekday() % 7
+    return state.selectExpr(
+        "*",
+        *[f"element_at(buf, -{n}) AS lag_{n}h" for n in LAG_HOURS],
+        *[f"aggregate(slice(buf, -{n}, {n}), 0D, (total, v) -> total + v) / {n}D AS roll_{n}h" for n in ROLL_HOURS],
+        f"{hour.hour}S AS pickup_hour",
+        f"{sunday_first}S AS pickup_dow",
+        f"{str(sunday_first in (0, 6)).lower()} AS is_weekend",
     )
 
 
@@ -97,14 +96,13 @@ def recursive_forecast(
     """
     start = latest_train_end(features) if train_end is None else dt.datetime.fromisoformat(str(train_end))
     state = history_buffers(features, start, strict_hours)
+    yhat = clip(F.col("yhat"), low=0.0) if clip_at_zero else F.col("yhat")
+    longer = F.concat("buf", F.array(yhat)).alias("buf")
     for step in range(horizon_hours):
         if step and step % steps_per_plan == 0:
             state = cut_lineage(state)
         known = features_from_buffer(state, start + dt.timedelta(hours=step))
-        yhat = F.col("yhat")
-        if clip_at_zero:
-            yhat = clip(yhat, low=0.0)
-        state = model.transform(known).select("pu_location", F.concat("buf", F.array(yhat)).alias("buf"))
+        state = model.transform(known).select("pu_location", longer)
     steps = state.select(
         "pu_location", F.posexplode(F.slice("buf", HISTORY_HOURS + 1, horizon_hours)).alias("step", "yhat")
     )

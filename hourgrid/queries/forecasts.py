@@ -46,7 +46,7 @@ def history_buffers(spark: SparkSession, sf_dir: str) -> DataFrame:
     "history_buffers_short",
     sql=with_features(
         """SELECT pu_location, CAST(unnest(range(168)) AS INTEGER) AS place,
-       unnest(list_concat(list_transform(range(168 - len(s)), x -> 0.0::DOUBLE), s)) AS trips
+       unnest(list_concat(list_resize(CAST([] AS DOUBLE[]), 168 - len(s), 0.0::DOUBLE), s)) AS trips
 FROM (SELECT pu_location, list(CAST(trip_count AS DOUBLE) ORDER BY hour_start) AS s FROM mart
       WHERE hour_start >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 168 HOUR AND hour_start < TIMESTAMP '2024-01-30 00:00:00'
       GROUP BY 1)"""
@@ -129,13 +129,13 @@ steps AS (
 
 @query("recursive_forecast_expr", sql=_recursive_sql(24))
 def recursive_forecast_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = ExpressionModel(weighted_history)
+    model = ExpressionModel(weighted_history())
     return rounded(forecast.recursive_forecast(inputs.filled(spark, sf_dir), model, TRAIN_END, 24), ["yhat"])
 
 
 @query("recursive_forecast_two_days", sql=_recursive_sql(48))
 def recursive_forecast_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = ExpressionModel(weighted_history)
+    model = ExpressionModel(weighted_history())
     return rounded(forecast.recursive_forecast(inputs.filled(spark, sf_dir), model, TRAIN_END, 48), ["yhat"])
 
 
