@@ -35,10 +35,7 @@ def create_like(df: DataFrame, table: str, partition_by: Sequence[str] = ("inges
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     if spark.catalog.tableExists(table):
         return
-    writer = df.limit(0).write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    _save_as(df.limit(0), table, list(partition_by))
 
 
 def align(df: DataFrame, table: str, schema_mode: str = "strict") -> DataFrame:
@@ -196,7 +193,12 @@ def evolve_table(
     add_columns: dict[str, str] | None = None,
     retype: dict[str, Column] | None = None,
 ) -> None:
-    """Add columns in place; retyping rewrites the table beside the old one and swaps."""
+    """Add columns in place; retyping rewrites the table.
+
+    The retyped rows are written to a table beside the old one, which is dropped
+    only then, and are copied back under the old name. All rows are in a complete
+    table at every moment, so a stopped migration loses nothing.
+    """
     stored = spark.table(table)
     if not retype:
         absent = {n: t for n, t in (add_columns or {}).items() if n not in stored.columns}
@@ -205,10 +207,15 @@ def evolve_table(
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
         return
     parts = partition_columns(spark, table)
-    writer = evolve(stored, add_columns, retype).write.format("parquet")
-    if parts:
-        writer = writer.partitionBy(*parts)
     rewritten = f"{table}__rewritten"
-    writer.saveAsTable(rewritten)
+    _save_as(evolve(stored, add_columns, retype), rewritten, parts)
     spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {rewritten} RENAME TO {table}")
+    _save_as(spark.table(rewritten), table, parts)
+    spark.sql(f"DROP TABLE {rewritten}")
+
+
+def _save_as(df: DataFrame, table: str, parts: list[str]) -> None:
+    writer = df.write.format("parquet")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.saveAsTable(table)
