@@ -124,14 +124,16 @@ def _doubles(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return _stacked(df, numbers)
 
 
-def exact_quantiles(stacked: DataFrame, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact interpolated quantiles of every ``column_name`` in (column_name, value).
+def _ranked_counts(stacked: DataFrame) -> DataFrame:
+    """Counted values of every column with their place in its order.
 
     Values are counted first (map-side, so a value that fills a third of the
     table is one row per task), range-partitioned in order, and written to the
     checkpoint folder with their partition number. Ranks are then the rows of
     earlier partitions plus a running count inside one: no task ever holds a
     whole column. Runs a job for that write.
+
+    Adds ``_upto`` (rows up to and including the value), ``_total`` and ``_mean``.
     """
     counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     placed = cut_lineage(
@@ -139,48 +141,64 @@ def exact_quantiles(stacked: DataFrame, probabilities: Sequence[float] = QUARTIL
     )
     in_order = Window.partitionBy("column_name").orderBy("_part")
     whole = Window.partitionBy("column_name")
+    # One row per column and range partition.
     parts = (
         placed.groupBy("column_name", "_part")
-        .agg(F.sum("n").alias("_part_n"))
+        .agg(F.sum("n").alias("_part_n"), F.sum(F.col("n") * F.col("value")).alias("_part_sum"))
         .select(
             "column_name",
             "_part",
             (F.sum("_part_n").over(in_order) - F.col("_part_n")).alias("_earlier"),
             F.sum("_part_n").over(whole).alias("_total"),
+            (F.sum("_part_sum").over(whole) / F.sum("_part_n").over(whole)).alias("_mean"),
         )
     )
     inside = Window.partitionBy("column_name", "_part").orderBy("value")
-    ranked = placed.join(parts, ["column_name", "_part"]).withColumn(
+    return placed.join(parts, ["column_name", "_part"]).withColumn(
         "_upto", F.col("_earlier") + F.sum("n").over(inside)
     )
 
+
+def _quantile(p: float) -> Column:
+    """Linear interpolation between the two values around rank ``p * (n - 1)``."""
+    place = F.lit(float(p)) * (F.col("_total") - 1)
+
     def at(rank: Column) -> Column:
         holds = (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("n"))
         return F.max(F.when(holds, F.col("value")))
 
-    def quantile(p: float) -> Column:
-        place = F.lit(float(p)) * (F.col("_total") - 1)
-        low, high = at(F.floor(place)), at(F.ceil(place))
-        share = F.max(place - F.floor(place))
-        return low + (high - low) * share
+    low, high = at(F.floor(place)), at(F.ceil(place))
+    return low + (high - low) * F.max(place - F.floor(place))
 
-    return ranked.groupBy("column_name").agg(
-        *[quantile(p).alias(f"q{round(p * 100):02d}") for p in probabilities]
+
+def exact_quantiles(df: DataFrame, names: Sequence[str], probabilities: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact quantiles of every named column, one row per column."""
+    return (
+        _ranked_counts(_doubles(df, names))
+        .groupBy("column_name")
+        .agg(*[_quantile(p).alias(f"q{round(p * 100):02d}") for p in probabilities])
     )
 
 
 def profile_numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles, max per numeric column."""
-    rows = _doubles(df, names)
-    moments = rows.groupBy("column_name").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    return moments.join(exact_quantiles(rows), "column_name").select(
-        "column_name", "n", "mean", "std", "min", "q25", "q50", "q75", "max"
+    """count, mean, std, min, quartiles, max per numeric column: one scan of ``df``."""
+    n, gap = F.col("n"), F.col("value") - F.col("_mean")
+    total = F.max("_total")
+    q25, q50, q75 = (_quantile(p) for p in QUARTILES)
+    return (
+        _ranked_counts(_doubles(df, names))
+        .groupBy("column_name")
+        .agg(
+            total.alias("_n"),
+            F.max("_mean").alias("mean"),
+            F.sqrt(F.try_divide(F.sum(n * gap * gap), total - 1)).alias("std"),
+            F.min("value").alias("min"),
+            q25.alias("q25"),
+            q50.alias("q50"),
+            q75.alias("q75"),
+            F.max("value").alias("max"),
+        )
+        .withColumnRenamed("_n", "n")
     )
 
 

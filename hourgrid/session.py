@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -49,13 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from those files.
+    """Write ``df`` as Parquet into the checkpoint folder and continue from there.
 
-    After this the rows no longer depend on any executor, so a lost executor
-    cannot change or repeat the work above this point.
+    The rows then depend on no executor, so a lost executor cannot change or
+    repeat the work above this point. Unlike RDD checkpoint files, Parquet keeps
+    column pruning and known sizes for whatever is planned next.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/frames/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
