@@ -11,12 +11,23 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+UNIX_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
 
 def ntz(value: Column | str | dt.datetime | dt.date) -> Column:
     """A zone-less timestamp column from a column, text, date or datetime."""
     return (value if isinstance(value, Column) else F.lit(str(value))).cast("timestamp_ntz")
 
 
+def instant(value: Column | str | dt.datetime) -> Column:
+    """A point in time. Text and zone-less datetimes are read in the session zone."""
+    if isinstance(value, Column):
+        return value.cast("timestamp")
+    if isinstance(value, dt.datetime) and value.tzinfo is not None:
+        return F.timestamp_micros(F.lit((value - UNIX_EPOCH) // dt.timedelta(microseconds=1)))
+    return F.lit(str(value)).cast("timestamp")
+
+
 def as_date(value: Column | str | dt.date) -> Column:
     return (value if isinstance(value, Column) else F.lit(str(value))).cast("date")
 

@@ -78,17 +78,15 @@ def histogram(
 ) -> DataFrame:
     """Equal-width bins over the clipped column; the last bin is closed.
 
-    Rows are first reduced to value counts, so the bounds and the bins are both
-    taken from one shuffled, pre-aggregated set. Empty bins are kept.
+    One pass for the bounds and one for the bins; both reduce to a few rows per
+    task, so no values are shuffled. Empty bins are kept.
     """
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(clip(F.col(column), low, high).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    values = df.where(F.col(column).isNotNull()).select(
+        clip(F.col(column), low, high).cast("double").alias("value")
     )
     # A constant column gets a bin range of width one around it.
     bounds = (
-        counts.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+        values.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
         .where(F.col("lo").isNotNull())
         .select(
             F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -98,7 +96,7 @@ def histogram(
     lo = bounds.select("lo").scalar()
     hi = bounds.select("hi").scalar()
     position = F.floor((F.col("value") - lo) * F.lit(float(bins)) / (hi - lo)).cast("int")
-    binned = counts.groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
+    binned = values.groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     edges = bounds.select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
         F.col("lo"),

@@ -47,8 +47,13 @@ def zone_hour_grid(
 
 
 def fill_gaps(grid: DataFrame, mart: DataFrame) -> DataFrame:
-    """Observed counts on the grid, zero where nothing was observed."""
-    return grid.join(mart.select(*DEMAND_KEY, TARGET), DEMAND_KEY, "left").select(
+    """Observed counts on the grid, zero where nothing was observed.
+
+    Joined in series order (month, zone, hour): when the mart is too large to
+    broadcast, the sort of the join is also the sort of the windows after it.
+    """
+    keys = ["ingest_month", "pu_location", "hour_start"]
+    return grid.join(mart.select(*keys, TARGET), keys, "left").select(
         *DEMAND_KEY, zero_fill(F.col(TARGET)).cast("int").alias(TARGET)
     )
 

@@ -56,8 +56,10 @@ def of_zone(df: DataFrame, zone: int) -> DataFrame:
     return df.where(F.col("pu_location") == zone)
 
 
-def of_run(df: DataFrame, run_ts: Column, model_name: str | None = None) -> DataFrame:
-    kept = df.where(F.col("run_ts") == run_ts)
+def of_run(
+    df: DataFrame, run_ts: Column | str | dt.datetime, model_name: str | None = None
+) -> DataFrame:
+    kept = df.where(F.col("run_ts") == clock.instant(run_ts))
     return kept if model_name is None else kept.where(F.col("model_name") == model_name)
 
 

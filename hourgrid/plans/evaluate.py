@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid import schemas
@@ -23,7 +23,7 @@ class Evaluation:
 def evaluate_run(
     predictions: DataFrame,
     truth: DataFrame,
-    run_ts: dt.datetime,
+    run_ts: Column | str | dt.datetime,
     model_name: str | None = None,
     collapse_truth: bool = False,
     n_worst: int = 20,
@@ -33,7 +33,7 @@ def evaluate_run(
     ``truth`` is the observed mart, where hours without trips are absent and so
     not scored, or the filled grid, where they count as zero.
     """
-    run = scoring.of_run(predictions, F.lit(run_ts).cast("timestamp"), model_name)
+    run = scoring.of_run(predictions, run_ts, model_name)
     joined = scoring.join_truth(run, truth, collapse_truth)
     scoring.require_rows(joined, f"no observed rows for run {run_ts}")
     return Evaluation(joined, scoring.mae_rmse(joined), scoring.worst_zones(joined, n_worst))
@@ -43,10 +43,10 @@ def evaluate_latest(
     predictions: DataFrame, truth: DataFrame, model_name: str | None = None, **options
 ) -> Evaluation:
     """The same for the newest run, of any model or of one."""
-    newest = scoring.latest_run(predictions, model_name).first().run_ts
+    newest = scoring.latest_run(predictions, model_name).select(F.unix_micros("run_ts")).first()[0]
     if newest is None:
         raise RuntimeError("no stored runs")
-    return evaluate_run(predictions, truth, newest, model_name, **options)
+    return evaluate_run(predictions, truth, F.timestamp_micros(F.lit(newest)), model_name, **options)
 
 
 def run_metrics(joined: DataFrame) -> DataFrame:

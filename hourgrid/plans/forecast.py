@@ -136,11 +136,11 @@ def as_predictions(
 ) -> DataFrame:
     """Forecast rows in the layout of the predictions table; one ``run_ts`` per run."""
     return forecast.select(
-        F.lit(run_ts).alias("run_ts"),
+        clock.instant(run_ts).alias("run_ts"),
         "hour_start",
         "pu_location",
         "yhat",
-        F.lit(str(train_end)).cast("timestamp").alias("train_end"),
+        clock.instant(train_end).alias("train_end"),
         F.lit(horizon_hours).cast("int").alias("horizon_hours"),
         F.lit(model_name).alias("model_name"),
     )
@@ -159,7 +159,7 @@ def already_forecast(
     """Runs one small job: is this forecast stored?"""
     stored = predictions.where(
         (F.col("model_name") == model_name)
-        & (F.col("train_end") == F.lit(str(train_end)).cast("timestamp"))
+        & (F.col("train_end") == clock.instant(train_end))
         & (F.col("horizon_hours") == horizon_hours)
     )
     return not stored.isEmpty()

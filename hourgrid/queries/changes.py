@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.functions.clock import at_time_zone, month_floor
+from hourgrid.functions.clock import at_time_zone, month_floor, ntz
 from hourgrid.functions.measures import clip, reindex, truncate_text
 from hourgrid.operators import keyed
 from hourgrid.queries.inputs import rounded, show_month, table
 from hourgrid.queries.registry import query
-from hourgrid.tables import state
+from hourgrid.sources import scans
+from hourgrid.tables import state, store
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
@@ -138,6 +139,34 @@ def months_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
+@query(
+    "empty_text_to_null",
+    sql="""
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority, o_orderstatus FROM orders
+""",
+)
+def empty_text_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load in which a third of the texts are empty."""
+    priority = F.when(F.col("o_orderstatus") == "F", "").otherwise(F.col("o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", priority.alias("o_orderpriority"), "o_orderstatus")
+    return store.empty_text_to_null(orders)
+
+
+@query(
+    "scan_table",
+    sql="""
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'
+""",
+)
+def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded filter, three columns, a total order."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("hourgrid_orders")
+    in_1996 = (F.col("o_orderdate") >= ntz("1996-01-01")) & (F.col("o_orderdate") < ntz("1997-01-01"))
+    names = ["o_orderkey", "o_custkey", "o_totalprice"]
+    return scans.scan_table(spark, "hourgrid_orders", in_1996, names, order=["o_custkey", "o_orderkey"])
+
+
 @query(
     "duplicate_keys",
     sql="SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",

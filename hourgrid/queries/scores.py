@@ -213,7 +213,7 @@ WHERE run_ts = TIMESTAMP '{RUNS["lag_24h"]}' AND model_name = 'lag_24h'""",
 )
 def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, stored = _mart_and_predictions(spark, sf_dir)
-    rows = scoring.of_run(stored, F.lit(str(RUNS["lag_24h"])).cast("timestamp"), "lag_24h")
+    rows = scoring.of_run(stored, RUNS["lag_24h"], "lag_24h")
     return rounded(_shown(rows.select("run_ts", "model_name", "hour_start", "pu_location", "yhat")), ["yhat"])
 
 
@@ -263,6 +263,20 @@ def evaluate_latest_worst_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUSIEST_SQL = "(SELECT pu_location FROM features GROUP BY 1 ORDER BY sum(trip_count) DESC, pu_location LIMIT 1)"
 
 
+@query(
+    "zone_first_rows",
+    sql=with_features(
+        """SELECT pu_location, hour_start, trip_count, lag_24h, round(roll_24h, 6) AS roll_24h
+FROM valid WHERE pu_location = 1 ORDER BY hour_start LIMIT 200""",
+        VALID_SQL,
+    ),
+)
+def zone_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of a zone given by number."""
+    series = scoring.zone_series(_valid(spark, sf_dir), 1, ["trip_count", "lag_24h", "roll_24h"], 200)
+    return rounded(series, ["roll_24h"])
+
+
 @query(
     "zone_series",
     sql=with_features(

@@ -1,6 +1,9 @@
 """Run every registered query next to its DuckDB text and report differences.
 
 usage: python tools/check_queries.py [sf_dir] [name ...]
+
+CHECK_ZONE sets another session time zone; CHECK_PLAIN=1 leaves all other
+session settings at Spark's defaults.
 """
 
 from __future__ import annotations
@@ -15,8 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
+from hourgrid import session  # noqa: E402
 from hourgrid.queries import oracle_sql, queries  # noqa: E402
-from hourgrid.session import build_session  # noqa: E402
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -40,10 +43,15 @@ def rows_of(columns: list[str], rows: list) -> list[tuple]:
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session(
-        "check", master="local[8]", spark_sql_shuffle_partitions="8", spark_ui_enabled="false",
-        spark_ui_showConsoleProgress="false",
-    )
+    settings = {
+        "spark_sql_shuffle_partitions": "8",
+        "spark_ui_enabled": "false",
+        "spark_ui_showConsoleProgress": "false",
+        "spark_sql_session_timeZone": os.environ.get("CHECK_ZONE", "UTC"),
+    }
+    if os.environ.get("CHECK_PLAIN"):
+        session.DEFAULTS.clear()
+    spark = session.build_session("check", master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     duck = duckdb.connect()
     for name in TABLES:
