@@ -29,7 +29,7 @@ TABLES = (
 
 def plain(value: object) -> object:
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+        return "nan" if math.isnan(value) else value + 0.0
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     return value
