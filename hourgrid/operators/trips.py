@@ -91,8 +91,13 @@ def trip_features(trips: DataFrame, month: dt.date | str | None = None) -> DataF
     pickup = F.col("pickup_ts")
     return (
         source.where(within_caps())
+        # Whole seconds round half away from zero: 1 … MAX as an interval test.
+        .where(
+            clock.lasts_between(
+                pickup, F.col("dropoff_ts"), above=0.499999, at_most=MAX_TRIP_SECONDS + 0.499999
+            )
+        )
         .withColumn("trip_seconds", clock.duration_seconds(pickup, F.col("dropoff_ts")))
-        .where((seconds > 0) & (seconds <= MAX_TRIP_SECONDS))
         .withColumn("speed_mph", clock.speed_mph(F.col("trip_distance"), seconds))
         .where(F.col("speed_mph").isNull() | (F.col("speed_mph") <= MAX_SPEED))
         .select(

@@ -54,7 +54,8 @@ RUN_METRICS = (
 )
 
 STATE_KEY = ["dataset", "year", "month"]
-TRIP_KEY = ["ingest_month", "pickup_ts", "dropoff_ts", "pu_location", "do_location"]
+# Most varied column first: sorts by the key then compare one number, not a constant month.
+TRIP_KEY = ["pickup_ts", "dropoff_ts", "pu_location", "do_location", "ingest_month"]
 DEMAND_KEY = ["ingest_month", "hour_start", "pu_location"]
 PREDICTION_RUN_KEY = ["run_ts", "hour_start", "pu_location"]
 PREDICTION_IDENTITY_KEY = ["model_name", "train_end", "horizon_hours", "hour_start", "pu_location"]

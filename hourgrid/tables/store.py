@@ -103,9 +103,32 @@ def replace_partition(
     return written
 
 
+def _partition_values(df: DataFrame, parts: Sequence[str]) -> set[tuple]:
+    """Distinct partition values; as few as the partitions the driver lists anyway."""
+    return {tuple(row) for row in df.select(*parts).distinct().collect()}
+
+
+def _in_partitions(df: DataFrame, parts: Sequence[str], values: set[tuple]) -> DataFrame:
+    """Rows of the given partitions: a literal predicate, so others are not read."""
+    chosen = F.lit(False)
+    for value in values:
+        same = F.lit(True)
+        for name, part in zip(parts, value, strict=True):
+            same = same & F.col(name).eqNullSafe(F.lit(part))
+        chosen = chosen | same
+    return df.where(chosen)
+
+
 def insert_ignore(df: DataFrame, table: str, keys: Sequence[str]) -> int:
-    """Insert rows whose key is not stored yet, one per key."""
-    target = df.sparkSession.table(table)
+    """Insert rows whose key is not stored yet, one per key.
+
+    When the key contains the partition columns, only the batch's partitions are read.
+    """
+    spark = df.sparkSession
+    target, parts = spark.table(table), partition_columns(spark, table)
+    if parts and set(parts) <= set(keys):
+        df = cut_lineage(df)
+        target = _in_partitions(target, parts, _partition_values(df, parts))
     return bulk_append(new_rows(df, target, keys), table)
 
 
@@ -114,38 +137,29 @@ def upsert(df: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence
 
     The batch is written to the checkpoint folder once, because it is read
     several times and may itself come from the table. Only partitions that the
-    batch, or a stored row with one of its keys, lies in are rewritten.
+    batch, or a stored row with one of its keys, lies in are read and rewritten.
     """
     spark = df.sparkSession
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table} must be partitioned to be updated by key")
     keys = list(keys)
-    batch = cut_lineage(df)
+    batch = cut_lineage(align(df, table))
     check_constraints(batch, keys=keys)
     target = spark.table(table)
-    if set(parts) <= set(keys):
-        touched = batch.select(*parts).distinct()
-    else:
-        # A stored row may sit in another partition than its replacement.
-        stored = target.join(batch.select(*keys), keys, "left_semi").select(*parts)
-        touched = stored.union(batch.select(*parts)).distinct()
-    old = target.join(touched, parts, "left_semi")
-    rows = upsert_rows(old, align(batch, table), keys, update_cols)
-    if set(parts) - set(keys):
-        _rewrite_touched(rows, touched, table, parts)
-    else:
-        _overwrite_partitions(align(rows, table), table)
-
-
-def _rewrite_touched(rows: DataFrame, touched: DataFrame, table: str, parts: list[str]) -> None:
-    """Overwrite, then drop touched partitions that no row belongs to any more."""
-    rows, touched = cut_lineage(rows), cut_lineage(touched)
-    _overwrite_partitions(align(rows, table), table)
-    emptied = touched.join(rows.select(*parts).distinct(), parts, "left_anti")
-    spark = rows.sparkSession
-    for row in emptied.collect():
-        spec = ", ".join(f"`{p}` = '{row[p]}'" for p in parts)
+    touched = _partition_values(batch, parts)
+    stays_put = set(parts) <= set(keys)
+    if not stays_put:
+        # A stored row may lie in another partition than its replacement.
+        touched |= _partition_values(target.join(batch.select(*keys), keys, "left_semi"), parts)
+    rows = align(upsert_rows(_in_partitions(target, parts, touched), batch, keys, update_cols), table)
+    if stays_put:
+        _overwrite_partitions(rows, table)
+        return
+    rows = cut_lineage(rows)
+    _overwrite_partitions(rows, table)
+    for value in touched - _partition_values(rows, parts):
+        spec = ", ".join(f"`{name}` = '{part}'" for name, part in zip(parts, value, strict=True))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
