@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
@@ -46,7 +47,8 @@ def _ensemble(
     weights = gateway.new_array(spark._jvm.double, len(trees))
     for i, tree in enumerate(trees):
         members[i], weights[i] = tree._java_obj, rate
-    return GBTRegressionModel(regression.GBTRegressionModel(f"poisson_{trees[0].uid}", members, weights))
+    model = GBTRegressionModel(regression.GBTRegressionModel(f"poisson_{trees[0].uid}", members, weights))
+    return model.setFeaturesCol("_features").setPredictionCol("_step")
 
 
 @dataclass(frozen=True)
@@ -64,10 +66,16 @@ class PoissonBoostingModel:
     def transform(self, df: DataFrame) -> DataFrame:
         if self.ensemble is None:
             return df.withColumn("yhat", F.lit(math.exp(self.base_score)))
-        scored = self.ensemble.setFeaturesCol("_features").setPredictionCol("_step").transform(
-            df.withColumn("_features", _vector(self.features))
-        )
-        return scored.withColumn("yhat", F.exp(F.col("_step") + self.base_score)).drop("_features", "_step")
+        scored = self.ensemble.transform(df.select("*", self._input))
+        return scored.withColumn("yhat", self._yhat).drop("_features", "_step")
+
+    @cached_property
+    def _input(self) -> Column:
+        return _vector(self.features).alias("_features")
+
+    @cached_property
+    def _yhat(self) -> Column:
+        return F.exp(F.col("_step") + self.base_score)
 
 
 @dataclass(frozen=True)

@@ -45,11 +45,12 @@ def fit_one_hot(df: DataFrame) -> ZoneOneHot:
     )
     # "keep" appends a slot for unseen zones; the encoder drops that last slot.
     encoder = OneHotEncoder(inputCols=["_zone_index"], outputCols=["_zone_all"])
+    # Checked before the indexer brings the zone list to the driver.
+    if df.select(ZONE).distinct().limit(MAX_FEATURES + 1).count() > MAX_FEATURES:
+        raise ValueError(f"more than {MAX_FEATURES} zones, the limit of model columns")
     text = _with_zone_text(df)
     indexed = indexer.fit(text)
     labels = indexed.labels
-    if len(labels) > MAX_FEATURES:
-        raise ValueError(f"{len(labels)} zones exceed {MAX_FEATURES} model columns")
     slicer = VectorSlicer(inputCol="_zone_all", outputCol="zone_vector", indices=list(range(1, len(labels))))
     stages = [indexed, encoder.fit(indexed.transform(text)), slicer]
     return ZoneOneHot(PipelineModel(stages), [int(z) for z in labels])
