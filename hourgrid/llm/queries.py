@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import exact_dedup, source_mix
+from hourgrid.llm import exact_dedup, language_id, source_mix
 from hourgrid.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _fold(column: str, parts: int) -> Column:
+    """The remainder of the CRC-32 of a column as text."""
+    return F.crc32(F.col(column).cast("string")) % parts
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(_fold("doc_id", 4) == 2, F.lit(False))
+    model = language_id.train(docs.where(_fold("doc_id", 4) != 2))
+    return language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -34,6 +46,7 @@ FROM n JOIN g ON n.t = g.t
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_language_id": op4_language_id,
         "op5_source_mix": op5_source_mix,
         "op9_exact_dedup": op9_exact_dedup,
     }
