@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,6 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, through Spark's file server."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="hourgrid-code-"), "hourgrid")
+        name = os.path.basename(package)
+        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), name))
+        _shipped.add(context.applicationId)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write to the shared checkpoint folder and continue from the written files."""
     return cut_lineage(df)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import exact_dedup, language_id, source_mix
-from hourgrid.llm.frames import table
+from hourgrid.llm import exact_dedup, language_id, quality_pu, source_mix, toxicity_chain
+from hourgrid.llm.frames import ship_code, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,24 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op7_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    held_out = F.coalesce(_fold("doc_id", 5) == 0, F.lit(False))
+    learn = _fold("doc_id", 5) != 0
+    model = quality_pu.train(docs.where(learn), labels.where(learn))
+    return quality_pu.score_quality(docs.withColumn("held_out", held_out), model)
+
+
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    held_out = F.coalesce(_fold("doc_id", 5) == 0, F.lit(False))
+    learn = _fold("doc_id", 5) != 0
+    chain = toxicity_chain.train(docs.where(learn), labels.where(learn))
+    return toxicity_chain.score_toxicity(docs.withColumn("held_out", held_out), chain)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -44,12 +63,24 @@ FROM n JOIN g ON n.t = g.t
 """
 
 
+def _with_code(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op4_language_id": op4_language_id,
-        "op5_source_mix": op5_source_mix,
-        "op9_exact_dedup": op9_exact_dedup,
-    }
+    named = (
+        op4_language_id,
+        op5_source_mix,
+        op7_quality_pu,
+        op8_toxicity_chain,
+        op9_exact_dedup,
+    )
+    return {q.__name__: _with_code(q) for q in named}
 
 
 def oracle_sql() -> dict[str, str]:
