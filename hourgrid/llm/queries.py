@@ -8,7 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm import exact_dedup, language_id, quality_pu, source_mix, toxicity_chain
+from hourgrid.llm import (
+    exact_dedup,
+    html_main,
+    language_id,
+    quality_pu,
+    source_mix,
+    toxicity_chain,
+    url_filter,
+)
 from hourgrid.llm.frames import ship_code, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +27,24 @@ def _fold(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % parts
 
 
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+def op2_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = F.coalesce(_fold("doc_id", 4) == 2, F.lit(False))
@@ -74,6 +100,8 @@ def _with_code(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     named = (
+        op2_html_main,
+        op3_url_filter,
         op4_language_id,
         op5_source_mix,
         op7_quality_pu,
