@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm import (
+    decontaminate,
     exact_dedup,
     html_main,
     language_id,
@@ -78,6 +79,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 OP9_SQL = r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -107,6 +113,7 @@ def queries() -> dict[str, Query]:
         op7_quality_pu,
         op8_toxicity_chain,
         op9_exact_dedup,
+        op10_decontaminate,
     )
     return {q.__name__: _with_code(q) for q in named}
 
