@@ -12,6 +12,7 @@ from hourgrid.llm import (
     decontaminate,
     exact_dedup,
     html_main,
+    jaccard_join,
     language_id,
     quality_pu,
     source_mix,
@@ -57,6 +58,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
@@ -110,6 +115,7 @@ def queries() -> dict[str, Query]:
         op3_url_filter,
         op4_language_id,
         op5_source_mix,
+        op6_jaccard_join,
         op7_quality_pu,
         op8_toxicity_chain,
         op9_exact_dedup,
