@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hourgrid.llm import (
     decontaminate,
     exact_dedup,
@@ -121,8 +122,10 @@ def queries() -> dict[str, Query]:
         op9_exact_dedup,
         op10_decontaminate,
     )
-    return {q.__name__: _with_code(q) for q in named}
+    return {q.__name__: _with_code(q) for q in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op9_exact_dedup": OP9_SQL} | (
+        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    )
