@@ -7,7 +7,6 @@ result is written as Parquet and read again as the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hourgrid.llm import decontaminate, exact_dedup, jaccard_join, language_id, source_mix
 from hourgrid.llm.frames import ship_code, stage, table
@@ -23,9 +22,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     ship_code(spark)
     model = language_id.train(docs)
-    named = language_id.identify(docs.withColumn("_text", F.col("text")), model, text_col="_text")
-    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return named.where(known).select(*docs.columns)
+    return language_id.keep_known(docs, model, LEAST_LANGUAGE_SCORE)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

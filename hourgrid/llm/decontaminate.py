@@ -197,5 +197,5 @@ def find_leaks(
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated documents; same columns."""
     id_col = options.get("id_col", "doc_id")
-    leaked = find_leaks(docs, benchmark, **options).select(F.col(id_col).alias("_leaked")).distinct()
-    return docs.join(stage(leaked), F.col(id_col).eqNullSafe(F.col("_leaked")), "left_anti")
+    leaked = find_leaks(docs, benchmark, **options).select(F.col(id_col).alias("__leaked")).distinct()
+    return docs.join(stage(leaked), F.col(id_col).eqNullSafe(F.col("__leaked")), "left_anti")

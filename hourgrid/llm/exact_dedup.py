@@ -139,9 +139,9 @@ def exact_groups(
 def drop_exact_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep; same columns."""
     keep = exact_groups(docs, text_col, id_col).where("kept")
-    keep = keep.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    hashed = docs.withColumn("_text_sha", F.sha2(normalised(F.col(text_col)), 256))
-    same = (F.col("_text_sha") == F.col("_sha")) & F.col(id_col).eqNullSafe(F.col("_id"))
+    keep = keep.select(F.col(id_col).alias("__dedup_id"), F.col("text_sha256").alias("__dedup_sha"))
+    hashed = docs.withColumn("__dedup_text", F.sha2(normalised(F.col(text_col)), 256))
+    same = (F.col("__dedup_text") == F.col("__dedup_sha")) & F.col(id_col).eqNullSafe(F.col("__dedup_id"))
     kept = hashed.join(keep, same)
-    one = Window.partitionBy("_text_sha", id_col).orderBy(F.lit(0))
-    return kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
+    one = Window.partitionBy("__dedup_text", id_col).orderBy(F.lit(0))
+    return kept.withColumn("__dedup_n", F.row_number().over(one)).where("__dedup_n = 1").select(*docs.columns)

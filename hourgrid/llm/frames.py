@@ -8,8 +8,11 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from hourgrid.session import cut_lineage
 
@@ -48,6 +51,33 @@ def unit_hash(*parts: Column) -> Column:
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(2**52))
 
 
+def computed(
+    df: DataFrame,
+    inputs: list[str],
+    function: Callable[..., list],
+    fields: list[T.StructField],
+    drop: list[str],
+) -> DataFrame:
+    """``df`` without ``drop``, with ``fields`` that ``function`` computes from lists of the input columns.
+
+    The other columns pass as Arrow data and keep their types and NULLs; those
+    named like a new field are replaced.
+    """
+    new = {f.name for f in fields}
+    kept = [f for f in df.schema.fields if f.name not in new and f.name not in drop]
+    names = [f.name for f in kept]
+    types = [to_arrow_type(f.dataType) for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = function(*(batch.column(c).to_pylist() for c in inputs))
+            columns = [batch.column(n) for n in names] + [pa.array(m, t) for m, t in zip(made, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *(f.name for f in fields)])
+
+    wanted = list(dict.fromkeys([*names, *inputs]))
+    return df.select(*[F.col(f"`{c}`") for c in wanted]).mapInArrow(run, T.StructType([*kept, *fields]))
+
+
 def in_groups(
     df: DataFrame,
     keys: list[str],

@@ -24,8 +24,9 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hourgrid.llm.frames import stage
+from hourgrid.llm.frames import computed, stage
 
 # Element names and the class or id words that mark page furniture.
 SKIPPED = frozenset(
@@ -271,19 +272,17 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
     takes no part in votes; repeated rows give repeated results; columns of these
     names are replaced; an empty table gives an empty result.
     """
-    winners = stage(host_paths(pages, url_col, html_col)).select(F.col("host").alias("_host"), F.col("path").alias("host_path"))
-    rest = [f for f in pages.schema.fields if f.name not in (html_col, "text", "n_chars", "host_path")]
-    names = [f.name for f in rest]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = []
-            for h, path in zip(batch["_html"], batch["host_path"], strict=True):
-                page = parse(h or "")
-                texts.append(text_under(page, path, best_container(page)[0]))
-            yield batch[names].assign(text=texts, n_chars=[len(t) for t in texts], host_path=batch["host_path"])
-
-    hosted = pages.select(*names, F.col(html_col).alias("_html"), host_of(F.col(url_col)).alias("_host"))
-    found = hosted.join(winners, "_host", "left").select(*names, "_html", "host_path")
-    return found.mapInPandas(run, schema + "text string, n_chars long, host_path string")
+    winners = stage(host_paths(pages, url_col, html_col)).select(F.col("host").alias("_winner"), F.col("path").alias("host_path"))
+    kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars", "host_path")]
+
+    def run(htmls: list[str | None], paths: list[str | None]) -> list[list]:
+        texts = []
+        for h, path in zip(htmls, paths, strict=True):
+            page = parse(h or "")
+            texts.append(text_under(page, path, best_container(page)[0]))
+        return [texts, [len(t) for t in texts]]
+
+    fields = [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
+    hosted = pages.select(*kept, F.col(html_col).alias("_html"), host_of(F.col(url_col)).alias("_host"))
+    found = hosted.join(winners, F.col("_host") == F.col("_winner"), "left").drop("_host", "_winner")
+    return computed(found, ["_html", "host_path"], run, fields, ["_html"])

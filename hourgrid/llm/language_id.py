@@ -18,11 +18,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.llm import linear
-from hourgrid.llm.frames import stage, unit_hash
+from hourgrid.llm.frames import computed, stage, unit_hash
 
 BUCKETS = 1 << 16
 ORDERS = 3
@@ -197,13 +199,22 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     Equal texts get equal answers; an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [f for f in docs.schema.fields if f.name != text_col and f.name not in ("lang_pred", "score")]
-    names = [f.name for f in rest]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest) + "lang_pred string, score double"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(texts: list[str | None]) -> list[list]:
+        found = [sent.value.score(t) for t in texts]
+        return [[f[0] for f in found], [f[1] for f in found]]
+
+    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return computed(docs, [text_col], run, fields, [text_col])
+
+
+def keep_known(docs: DataFrame, model: LanguageModel, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is determined with at least this score; same columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sent.value.score(t) for t in batch[text_col]]
-            yield batch[names].assign(lang_pred=[f[0] for f in found], score=[f[1] for f in found])
+            found = [sent.value.score(t) for t in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array([p != UNDETERMINED and s >= least_score for p, s in found], pa.bool_()))
 
-    return docs.select(*names, text_col).mapInPandas(run, schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -27,9 +27,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.llm import linear
-from hourgrid.llm.frames import stage, unit_hash
+from hourgrid.llm.frames import computed, stage, unit_hash
 
 SHAPES = 1 << 12
 STATISTICS = 1 << 9
@@ -255,13 +256,10 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
     texts get equal scores; an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [f for f in docs.schema.fields if f.name not in (text_col, "score", "predicted")]
-    names = [f.name for f in rest]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest) + "score double, predicted int"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            scores = np.array([sent.value.score(t) for t in batch[text_col]], float)
-            yield batch[names].assign(score=scores, predicted=(scores >= threshold).astype(np.int32))
+    def run(texts: list[str | None]) -> list[list]:
+        scores = [sent.value.score(t) for t in texts]
+        return [scores, [int(s >= threshold) for s in scores]]
 
-    return docs.select(*names, text_col).mapInPandas(run, schema)
+    fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    return computed(docs, [text_col], run, fields, [text_col])

@@ -25,9 +25,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.llm import linear
-from hourgrid.llm.frames import stage, unit_hash
+from hourgrid.llm.frames import computed, stage, unit_hash
 
 # Seed words of the earlier categories.
 CATEGORIES: dict[str, tuple[str, ...]] = {
@@ -156,16 +157,11 @@ def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", thresh
     equal scores; clashing names are replaced; an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(chain)
-    made = [f"p_{n}" for n in chain.names[:-1]] + ["score"]
-    rest = [f for f in docs.schema.fields if f.name not in (text_col, "predicted", *made)]
-    names = [f.name for f in rest]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest)
-    schema += "".join(f"`{m}` double, " for m in made) + "predicted int"
+    names = [f"p_{n}" for n in chain.names[:-1]] + ["score"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            p = np.array([sent.value.score(t) for t in batch[text_col]]).reshape(len(batch), len(made))
-            out = batch[names].assign(**{m: p[:, k] for k, m in enumerate(made)})
-            yield out.assign(predicted=(p[:, -1] >= threshold).astype(np.int32))
+    def run(texts: list[str | None]) -> list[list]:
+        rows = [sent.value.score(t) for t in texts]
+        return [[r[k] for r in rows] for k in range(len(names))] + [[int(r[-1] >= threshold) for r in rows]]
 
-    return docs.select(*names, text_col).mapInPandas(run, schema)
+    fields = [T.StructField(n, T.DoubleType()) for n in names] + [T.StructField("predicted", T.IntegerType())]
+    return computed(docs, [text_col], run, fields, [text_col])

@@ -22,8 +22,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hourgrid.llm.frames import stage
+from hourgrid.llm.frames import computed, stage
 from hourgrid.llm.html_main import host_of
 
 # Words that mark unwanted hosts, and plain words that help segmentation.
@@ -208,18 +209,14 @@ def judge_urls(
     kept = [c for c in pages.columns if c not in made and c != html_col]
     judged = pages.select(*kept).withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
     joined = judged.join(stage(scored), F.col("host") == F.col("_host"), "left").drop("_host")
-    rest = [f for f in joined.schema.fields if f.name != "host_score"]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest) + "score double"
 
-    def add_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [float(sum(odds.value[_cell(w)] for w in path_words(p))) for p in batch["path"]]
-            yield batch.drop(columns="host_score").assign(score=batch["host_score"].fillna(0.0) + own + prior)
+    def add_paths(hosts_: list[float | None], paths: list[str]) -> list[list]:
+        return [[(h or 0.0) + sum(float(odds.value[_cell(w)]) for w in path_words(p)) + prior for h, p in zip(hosts_, paths, strict=True)]]
 
     rule = rule_for(F.col("host"), F.col("path"), rules)
     blocked = (F.col("host") != "") & (F.col("score") > 0)
     return (
-        joined.mapInPandas(add_paths, schema)
+        computed(joined, ["host_score", "path"], add_paths, [T.StructField("score", T.DoubleType())], ["host_score"])
         .withColumn("_fit", rule)
         .withColumn("rule", F.col("_fit.rule"))
         .withColumn("verdict", F.coalesce(F.col("_fit.verdict"), F.when(blocked, "block").otherwise("allow")))
