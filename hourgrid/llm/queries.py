@@ -15,6 +15,7 @@ from hourgrid.llm import (
     html_main,
     jaccard_join,
     language_id,
+    license_scan,
     quality_pu,
     source_mix,
     toxicity_chain,
@@ -39,6 +40,11 @@ URL_RULES = (
 )
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return license_scan.scan(docs, license_scan.train(docs))
+
+
 def op2_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -112,6 +118,7 @@ def _with_code(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     named = (
+        op1_license_scan,
         op2_html_main,
         op3_url_filter,
         op4_language_id,
