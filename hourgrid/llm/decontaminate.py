@@ -22,10 +22,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from hourgrid.llm import bloom
 from hourgrid.llm.frames import stage
@@ -117,23 +120,31 @@ def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return starts, total[starts].view(np.int64), slot, values
 
 
-def _rows(batch: pd.DataFrame, bits: np.ndarray | None) -> pd.DataFrame:
-    found: dict[str, list] = {c: [] for c in ("key", "place", "hash", "slots", "n")}
-    for key, text in zip(batch["key"], batch["text"], strict=True):
-        starts, hashes, slot, values = windows(text or "")
-        n = len(starts)
-        if bits is not None and n:
-            hit = bloom.contains(bits, hashes)
-            starts, hashes = starts[hit], hashes[hit]
-        for start, hashed in zip(starts.tolist(), hashes.tolist(), strict=True):
-            there = slice(start, start + WINDOW)
-            row = (key, start, hashed, values[there][slot[there]].view(np.int64), n)
-            for column, value in zip(found.values(), row, strict=True):
-                column.append(value)
-    return pd.DataFrame(found)
+_LAYOUT = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "place", "hash", "n")])
+_LAYOUT = _LAYOUT.add("slots", T.ArrayType(T.LongType()))
 
 
-_LAYOUT = "key long, place long, hash long, slots array<long>, n long"
+def _windows_of(texts: DataFrame, bits: Broadcast | None) -> DataFrame:
+    """One row per window of ``texts`` (key, text), of those that pass the filter if there is one."""
+    schema = to_arrow_schema(_LAYOUT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[list] = [[] for _ in schema]
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                starts, hashes, slot, values = windows(text)
+                n = len(starts)
+                if bits is not None and n:
+                    hit = bloom.contains(bits.value, hashes)
+                    starts, hashes = starts[hit], hashes[hit]
+                for start, hashed in zip(starts.tolist(), hashes.tolist(), strict=True):
+                    there = slice(start, start + WINDOW)
+                    row = (key, start, hashed, n, values[there][slot[there]].view(np.int64))
+                    for column, value in zip(found, row, strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, schema, strict=True)], schema=schema)
+
+    return texts.where("text IS NOT NULL").mapInArrow(run, _LAYOUT)
 
 
 def find_leaks(
@@ -155,20 +166,11 @@ def find_leaks(
     """
     spark = docs.sparkSession
 
-    def of_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield _rows(batch, None)
-
     items = benchmark.select(F.col(item_col).cast("long").alias("key"), F.col(item_text_col).alias("text"))
-    known = stage(items.where("text IS NOT NULL").mapInPandas(of_items, _LAYOUT))
+    known = stage(_windows_of(items, None))
     bits = spark.sparkContext.broadcast(bloom.build(known, "hash"))
-
-    def of_docs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield _rows(batch, bits.value)
-
     texts = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    hits = texts.where("text IS NOT NULL").mapInPandas(of_docs, _LAYOUT)
+    hits = _windows_of(texts, bits)
     matched = hits.select(F.col("key").alias("doc"), F.col("place").alias("at"), "hash", F.col("slots").alias("own")).join(
         known.select(F.col("key").alias("item"), F.col("place").alias("item_at"), "hash", "slots", "n"), "hash"
     )

@@ -78,6 +78,11 @@ def computed(
     return df.select(*[F.col(f"`{c}`") for c in wanted]).mapInArrow(run, T.StructType([*kept, *fields]))
 
 
+def objects(values: list) -> pd.Series:
+    """A column of lists, bytes or numbers that also converts when it is empty or holds None."""
+    return pd.Series(values, dtype=object)
+
+
 def in_groups(
     df: DataFrame,
     keys: list[str],

@@ -122,9 +122,11 @@ def parse(html: str) -> Page:
 
     def flush() -> None:
         nonlocal links
+        if nodes[stack[-1]].skip:
+            return  # what waits stands before the skipped element and may go on after it
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
-            if joined and not nodes[stack[-1]].skip:
+            if joined:
                 block = next((i for i in reversed(stack) if nodes[i].tag in BLOCKS), 0)
                 page.blocks.append((block, joined, links))
             text.clear()
@@ -155,8 +157,6 @@ def parse(html: str) -> Page:
                 depth = next(d for d in range(len(stack) - 1, 0, -1) if nodes[stack[d]].tag == tag)
                 if any(nodes[i].tag in BLOCKS for i in stack[depth + 1 :]) and tag not in BLOCKS:
                     continue  # a stray inline end tag does not close blocks
-                if nodes[stack[depth]].skip and not nodes[stack[depth - 1]].skip:
-                    text.clear()
                 close_to(depth)
                 in_link -= tag == "a" and in_link > 0
             continue
@@ -185,8 +185,6 @@ def parse(html: str) -> Page:
         attrs = _attributes(attrs_text)
         inside = above.inside or tag in ("article", "main")
         skip = above.skip or _furniture(tag, attrs, above.inside, above.tag == "header")
-        if skip and not above.skip and tag in BLOCKS | SKIPPED:
-            flush()
         path, deep = above.path, above.depth
         if tag in BLOCKS and deep < DEPTH:
             path, deep = f"{path}>{_step(tag, attrs)}", deep + 1

@@ -30,10 +30,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.llm import bloom
 from hourgrid.llm.components import connected_components
-from hourgrid.llm.frames import in_groups, stage
+from hourgrid.llm.frames import computed, in_groups, objects, stage
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -98,35 +99,37 @@ def _factors(count: int) -> np.ndarray:
     return _mixed(np.arange(1, count + 1, dtype=np.uint64) * _FACTOR) | np.uint64(1)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if both else 0.0
+def _key(grams: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set, as two signed longs."""
+    digest = xxhash.xxh128_digest(grams.tobytes())
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """(members, classes): rows with their set's key, and one row per distinct set."""
     factors = _factors(bands * rows)
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        powers = _factors(rows)
-        for batch in batches:
-            made: dict[str, list] = {c: [] for c in ("key1", "key2", "grams", "bands", "sketch")}
-            for text in batch["text"]:
-                grams = shingles(text, words)
-                values = signature(grams, factors)
-                folded = (_mixed(values).reshape(bands, rows) * powers).sum(axis=1, dtype=np.uint64)
-                digest = xxhash.xxh128_digest(grams.tobytes())
-                made["key1"].append(int.from_bytes(digest[:8], "big", signed=True))
-                made["key2"].append(int.from_bytes(digest[8:], "big", signed=True))
-                made["grams"].append(len(grams))
-                # The band's number goes into its hash: bands only meet their like.
-                made["bands"].append(_mixed(folded + np.arange(bands, dtype=np.uint64)).view(np.int64))
-                made["sketch"].append((_mixed(values) & np.uint64(255)).astype(np.uint8).tobytes())
-            yield pd.DataFrame({"row": batch["row"], "id": batch["id"], **made})
-
+    def sketch(texts: list[str | None]) -> list[list]:
+        powers, made = _factors(rows), []
+        for text in texts:
+            grams = shingles(text, words)
+            values = signature(grams, factors)
+            folded = (_mixed(values).reshape(bands, rows) * powers).sum(axis=1, dtype=np.uint64)
+            # The band's number goes into its hash: bands only meet their like.
+            hashes = _mixed(folded + np.arange(bands, dtype=np.uint64)).view(np.int64)
+            marks = (_mixed(values) & np.uint64(255)).astype(np.uint8).tobytes()
+            made.append((*_key(grams), len(grams), hashes, marks))
+        return list(zip(*made, strict=True)) if made else [[] for _ in fields]
+
+    fields = [
+        T.StructField("key1", T.LongType()),
+        T.StructField("key2", T.LongType()),
+        T.StructField("grams", T.IntegerType()),
+        T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("sketch", T.BinaryType()),
+    ]
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    layout = "row long, id long, key1 long, key2 long, grams int, bands array<long>, sketch binary"
-    members = stage(texts.mapInPandas(sketch, layout))
+    members = stage(computed(texts, ["text"], sketch, fields, ["text"]))
     same = members.where("grams > 0").groupBy("key1", "key2").agg(
         F.min("row").alias("cid"), F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
@@ -247,15 +250,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
         for batch in batches:
             batch = batch[bloom.contains(bits.value, batch["k"].to_numpy(np.int64))]
             grams = [shingles(t, words) for t in batch["text"]]
-            digest = [xxhash.xxh128_digest(g.tobytes()) for g in grams]
-            yield pd.DataFrame(
-                {
-                    "k": batch["k"],
-                    "key1": [int.from_bytes(d[:8], "big", signed=True) for d in digest],
-                    "key2": [int.from_bytes(d[8:], "big", signed=True) for d in digest],
-                    "set": [g.tobytes() for g in grams],
-                }
-            )
+            keys = [_key(g) for g in grams]
+            made = {"key1": [k[0] for k in keys], "key2": [k[1] for k in keys], "set": [g.tobytes() for g in grams]}
+            yield pd.DataFrame({"k": objects(batch["k"].tolist()), **{n: objects(v) for n, v in made.items()}})
 
     texts = docs.select(F.xxhash64(F.col(id_col).cast("long")).alias("k"), F.col(text_col).alias("text"))
     sets = texts.mapInPandas(run, "k long, key1 long, key2 long, set binary")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.llm import linear
-from hourgrid.llm.frames import computed, stage, unit_hash
+from hourgrid.llm.frames import computed, objects, stage, unit_hash
 
 BUCKETS = 1 << 16
 ORDERS = 3
@@ -154,7 +154,7 @@ def train(
             keep = [i for i, c in enumerate(made) if c is not None]
             pairs = [vector(made[i], idf) for i in keep]
             out = batch.iloc[keep][["place", "shard", "y", "fit"]]
-            yield out.assign(idx=[p[0].astype(np.int32) for p in pairs], val=[p[1] for p in pairs])
+            yield out.assign(idx=objects([p[0].astype(np.int32) for p in pairs]).values, val=objects([p[1] for p in pairs]).values)
 
     rows = stage(
         sample.mapInPandas(features, "place long, shard int, y int, fit boolean, idx array<int>, val array<float>")

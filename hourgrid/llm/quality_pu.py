@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.llm import linear
-from hourgrid.llm.frames import computed, stage, unit_hash
+from hourgrid.llm.frames import computed, objects, stage, unit_hash
 
 SHAPES = 1 << 12
 STATISTICS = 1 << 9
@@ -164,7 +164,7 @@ def train(
         for batch in batches:
             made = [features(t) for t in batch["text"]]
             out = batch[["place", "shard", "y", "fit"]]
-            yield out.assign(idx=[m[0].astype(np.int32) for m in made], val=[m[1] for m in made])
+            yield out.assign(idx=objects([m[0].astype(np.int32) for m in made]).values, val=objects([m[1] for m in made]).values)
 
     rows = stage(
         rows.select("place", "shard", "y", "fit", "text").mapInPandas(

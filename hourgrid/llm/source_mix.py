@@ -14,7 +14,7 @@ order up to its number of words. ``weight_col`` makes p unequal inside a source.
 No task holds a source: words are added up per source and slice of the ranking,
 the slice where the target falls is found, and only its documents are put in
 order. What is left of the target is filled by later passes over the documents
-small enough to fit.
+small enough to fit, and by one last document where that comes nearer.
 """
 
 from __future__ import annotations
@@ -202,8 +202,15 @@ def mix_sources(
         reached = place <= F.col(f"cut{k}")
         taken = reached if k == passes - 1 else F.when(reached, True).otherwise((F.col("size") <= F.col(f"gap{k}")) & taken)
     extra = F.when((place["v"] < 1) & (F.col("size") > 0), F.coalesce(taken, F.lit(False))).otherwise(F.lit(False))
+    limited = ranked.join(stage(limits), keys).withColumn("extra", extra)
+    # One more document where that comes nearer to the target than stopping short of it.
+    short = F.coalesce(*[F.col(f"gap{k}") for k in reversed(range(passes))])
+    over = (place["v"] < 1) & ~F.col("extra") & (F.col("size") > 0) & (F.col("size") < 2 * short)
+    topped = limited.where(over).groupBy(*keys).agg(F.min(F.struct("size", "place")).alias("top"))
+    limited = limited.join(stage(topped), keys, "left")
+    extra = F.col("extra") | F.coalesce(place == F.col("top.place"), F.lit(False))
     copies = F.col("whole") + extra.cast("int")
-    return ranked.join(stage(limits), keys).select(
+    return limited.select(
         F.col("out_id").alias(id_col), "size", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
     )

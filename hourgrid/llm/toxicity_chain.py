@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.llm import linear
-from hourgrid.llm.frames import computed, stage, unit_hash
+from hourgrid.llm.frames import computed, objects, stage, unit_hash
 
 # Seed words of the earlier categories.
 CATEGORIES: dict[str, tuple[str, ...]] = {
@@ -116,7 +116,8 @@ def train(
             ]
             idx = [features(t).astype(np.int32) for t in batch["text"]]
             out = batch[["place", "shard", "fold"]]
-            yield out.assign(ys=ys, idx=idx, val=[np.ones(len(i), np.float32) for i in idx])
+            val = [np.ones(len(i), np.float32) for i in idx]
+            yield out.assign(ys=objects(ys).values, idx=objects(idx).values, val=objects(val).values)
 
     layout = "place long, shard int, fold int, ys array<float>, idx array<int>, val array<float>"
     rows = stage(dealt.mapInPandas(prepare, layout))
@@ -144,7 +145,7 @@ def _with_out_of_fold(rows: DataFrame, models: list[np.ndarray], place: int, lay
                 p = linear.probabilities((np.asarray(v) * w[np.asarray(i)]).sum() + w[-1], False)
                 idx.append(np.append(i, place).astype(np.int32))
                 val.append(np.append(v, p).astype(np.float32))
-            yield batch.assign(idx=idx, val=val)
+            yield batch.assign(idx=objects(idx).values, val=objects(val).values)
 
     return rows.mapInPandas(run, layout)
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourgrid.llm.frames import computed, stage
+from hourgrid.llm.frames import computed, objects, stage
 from hourgrid.llm.html_main import host_of
 
 # Words that mark unwanted hosts, and plain words that help segmentation.
@@ -172,7 +172,7 @@ def judge_urls(
         own.__dict__.update(sent.value)
         for batch in batches:
             words = [host_words(h, own) for h in batch["host"]]
-            yield batch.assign(words=words, bad=[not marks.isdisjoint(w) for w in words])
+            yield batch.assign(words=objects(words).values, bad=[not marks.isdisjoint(w) for w in words])
 
     # Each host is segmented once, however many urls it has.
     hosts = stage(urls.select("host").distinct().mapInPandas(segment, "host string, words array<string>, bad boolean"))
