@@ -33,8 +33,9 @@ def _vector(features: Sequence[str]) -> Column:
     return array_to_vector(F.array(*[F.col(f).cast("double") for f in features]))
 
 
-def _mean() -> Column:
-    return F.least(F.greatest(F.exp("score"), F.lit(MEAN_FLOOR)), F.lit(MEAN_CEILING))
+def _mean(score: Column | str = "score") -> Column:
+    """The mean of a score, within the same bounds while training and scoring."""
+    return F.least(F.greatest(F.exp(score), F.lit(MEAN_FLOOR)), F.lit(MEAN_CEILING))
 
 
 def _ensemble(
@@ -75,7 +76,7 @@ class PoissonBoostingModel:
 
     @cached_property
     def _yhat(self) -> Column:
-        return F.exp(F.col("_step") + self.base_score)
+        return _mean(F.col("_step") + self.base_score)
 
 
 @dataclass(frozen=True)
@@ -105,7 +106,9 @@ class PoissonBoosting:
         features = list(features)
         complete = drop_nulls(df, [*features, target])
         share = self.validation_fraction or 0.0
-        held_out = F.pmod(F.xxhash64(*features, target), F.lit(1_000_000)) < int(share * 1_000_000)
+        # By the row's key where it is there: equal feature rows of quiet zones then spread over both sides.
+        key = [c for c in ("hour_start", "pu_location") if c in df.columns] or [*features, target]
+        held_out = F.pmod(F.xxhash64(*key), F.lit(1_000_000)) < int(share * 1_000_000)
         spark = df.sparkSession
         # Spread once and written once: all rounds read these balanced files.
         rows = cut_lineage(

@@ -89,7 +89,7 @@ def fit_poisson_glm(
     numeric: Sequence[str] = GLM_NUMERIC_FEATURES,
     target: str = TARGET,
     alpha: float = 1e-4,
-    max_iter: int = 100,
+    max_iter: int = 2000,
 ) -> PoissonRegressionModel:
     """Minimise mean Poisson half-deviance + alpha/2 · |coefficients|².
 

@@ -238,7 +238,3 @@ def profile_categorical(df: DataFrame, names: Sequence[str]) -> DataFrame:
         F.col("_top.value").alias("top"),
         (-F.col("_top.rank")).alias("freq"),
     )
-
-
-def column_types(df: DataFrame) -> dict[str, str]:
-    return dict(df.dtypes)

@@ -16,9 +16,16 @@ from hourgrid.operators.trips import first_per_key
 
 
 def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` to insert when existing keys are left alone: one per new key."""
+    """Rows of ``batch`` to insert when existing keys are left alone: one per new key.
+
+    A NULL in a key never equals anything, so every such row is inserted.
+    """
     keys = list(keys)
-    return first_per_key(batch, keys).join(target.select(*keys), keys, "left_anti")
+    complete = F.lit(True)
+    for key in keys:
+        complete = complete & F.col(key).isNotNull()
+    first = first_per_key(batch.where(complete), keys).join(target.select(*keys), keys, "left_anti")
+    return first.unionByName(batch.where(~complete))
 
 
 def insert_ignore_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

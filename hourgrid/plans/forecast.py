@@ -16,10 +16,11 @@ from hourgrid.operators import scoring
 from hourgrid.operators.series import LAG_HOURS, ROLL_HOURS
 from hourgrid.schemas import BOOSTING_FEATURES, TARGET
 from hourgrid.session import cut_lineage
-from hourgrid.tables.store import analyze, create_table, upsert
+from hourgrid.tables.store import analyze_partitions, create_table, upsert
 
 # Fixed value: hours of history a forecast starts from.
 HISTORY_HOURS = 168
+PREDICTION_PARTITIONS = ["model_name", "train_day"]
 REPLAY_MODEL = "poisson_boosting_replay_v1"
 RECURSIVE_MODEL = "poisson_boosting_recursive_v1"
 
@@ -49,8 +50,10 @@ def history_buffers(
     if strict_hours:
         end = clock.ntz(train_end)
         slots = clock.hours_between(clock.add_hours(end, -HISTORY_HOURS), clock.add_hours(end, -1))
-        by_hour = rows.groupBy("pu_location").agg(
-            F.map_from_entries(F.collect_list(F.struct("hour_start", F.col(TARGET).cast("double")))).alias("m")
+        # Two ingest months may report the same hour.
+        hourly = rows.groupBy("pu_location", "hour_start").agg(F.sum(F.col(TARGET).cast("double")).alias("v"))
+        by_hour = hourly.groupBy("pu_location").agg(
+            F.map_from_entries(F.collect_list(F.struct("hour_start", "v"))).alias("m")
         )
         filled = F.transform(slots, lambda h: F.coalesce(F.try_element_at(F.col("m"), h), F.lit(0.0)))
         return by_hour.select("pu_location", filled.alias("buf"))
@@ -127,6 +130,11 @@ def replay_forecast(
     )
 
 
+def clock_day(train_end: dt.datetime | str) -> str:
+    """The calendar day of ``train_end`` as given, a partition of the predictions table."""
+    return dt.datetime.fromisoformat(str(train_end)).date().isoformat()
+
+
 def as_predictions(
     forecast: DataFrame,
     run_ts: dt.datetime,
@@ -143,14 +151,15 @@ def as_predictions(
         clock.instant(train_end).alias("train_end"),
         F.lit(horizon_hours).cast("int").alias("horizon_hours"),
         F.lit(model_name).alias("model_name"),
+        F.lit(clock_day(train_end)).cast("date").alias("train_day"),
     )
 
 
 def write_predictions(predictions: DataFrame, table: str, keys: list[str], update_cols: list[str]) -> None:
-    spark = predictions.sparkSession
-    create_table(spark, table, schemas.PREDICTIONS, partition_by=["model_name"])
+    """Upsert one run's rows; only partitions of its model and training day are rewritten."""
+    create_table(predictions.sparkSession, table, schemas.PREDICTIONS, partition_by=PREDICTION_PARTITIONS)
     upsert(predictions, table, keys, update_cols)
-    analyze(spark, table)
+    analyze_partitions(predictions, table)
 
 
 def already_forecast(
@@ -177,7 +186,7 @@ def run_recursive(
     """Train, forecast and store; the run's timestamp, or None when already stored."""
     features = spark.table(features_table)
     train_end = train_end or latest_train_end(features)
-    create_table(spark, predictions_table, schemas.PREDICTIONS, partition_by=["model_name"])
+    create_table(spark, predictions_table, schemas.PREDICTIONS, partition_by=PREDICTION_PARTITIONS)
     if already_forecast(spark.table(predictions_table), model_name, train_end, horizon_hours):
         return None
     run_ts = dt.datetime.now(dt.timezone.utc)
@@ -187,7 +196,7 @@ def run_recursive(
     write_predictions(
         as_predictions(forecast, run_ts, model_name, train_end, horizon_hours),
         predictions_table,
-        keys=schemas.PREDICTION_IDENTITY_KEY,
+        keys=[*schemas.PREDICTION_IDENTITY_KEY, "train_day"],
         update_cols=["yhat", "run_ts"],
     )
     return run_ts
@@ -213,6 +222,6 @@ def run_replay(
         as_predictions(forecast, run_ts, model_name, train_end, None),
         predictions_table,
         keys=schemas.PREDICTION_RUN_KEY,
-        update_cols=["yhat", "model_name", "train_end"],
+        update_cols=["yhat", "model_name", "train_end", "train_day"],
     )
     return run_ts

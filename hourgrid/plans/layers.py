@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourgrid import schemas
 from hourgrid.operators.demand import zone_hour_demand
@@ -46,9 +47,23 @@ def build_demand_features(
     mart_table: str = "marts.demand_zone_hour",
     table: str = "features.demand_zone_hour",
     include_current: bool = True,
+    across_months: bool = False,
 ) -> int:
     """Feature rows of the complete grid of ``month``, over every zone of the mart."""
-    filled = filled_demand(spark.table(mart_table), month)
-    return _replace(
-        spark, demand_features(filled, include_current), table, schemas.DEMAND_FEATURES, month
-    )
+    rows = month_features(spark.table(mart_table), month, include_current, across_months)
+    return _replace(spark, rows, table, schemas.DEMAND_FEATURES, month)
+
+
+def month_features(
+    mart: DataFrame, month: dt.date, include_current: bool = True, across_months: bool = False
+) -> DataFrame:
+    """One month's features; with ``across_months`` its first hours look back into the month before.
+
+    The longest look back is 168 hours, so one preceding month is enough.
+    """
+    if not across_months:
+        return demand_features(filled_demand(mart, month), include_current)
+    before = (month.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    filled = filled_demand(mart, before, month)
+    rows = demand_features(filled, include_current, across_months=True)
+    return rows.where(F.col("ingest_month") == F.lit(month.replace(day=1).isoformat()).cast("date"))

@@ -21,7 +21,6 @@ from hourgrid.session import cut_lineage
 
 SPLIT = "2024-01-25 00:00:00"
 TRAIN_END = "2024-01-30 00:00:00"
-LAST_DAY_START = "2024-01-29 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

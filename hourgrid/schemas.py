@@ -46,7 +46,7 @@ DEMAND_FEATURES = (
 )
 PREDICTIONS = (
     "run_ts timestamp, hour_start timestamp_ntz, pu_location int, yhat double, "
-    "train_end timestamp, horizon_hours int, model_name string"
+    "train_end timestamp, horizon_hours int, model_name string, train_day date"
 )
 RUN_METRICS = (
     "run_ts timestamp, train_end timestamp, horizon_hours int, rows_joined int, "

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,27 +74,64 @@ def scan_month_range(
     last: dt.date,
     pattern: str = FILE_NAME,
 ) -> DataFrame:
-    """All months of a range; a column absent from some months is NULL there."""
-    months = [scan_month(spark, folder, m.year, m.month, pattern) for m in months_between(first, last)]
-    merged = months[0]
-    for df in months[1:]:
-        merged = merged.unionByName(df, allowMissingColumns=True)
+    """All months of a range; a column absent from some months is NULL there.
+
+    Months of equal layout are one read over all their files, with the month taken from
+    the file's name; only another layout (a column more, or of another type) adds a union.
+    """
+    layouts: dict[str, list[tuple[dt.date, str]]] = {}
+    for m in months_between(first, last):
+        path = month_path(folder, m.year, m.month, pattern)
+        found = require_columns(lower_columns(spark.read.parquet(path))).schema
+        layouts.setdefault(found.json(), []).append((m, path))
+    merged = None
+    for members in layouts.values():
+        df = spark.read.parquet(*[path for _, path in members])
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+        # A month may be a folder of part files: its name is then one level up.
+        above = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        months = F.map_from_arrays(
+            F.array(*[F.lit(path.rsplit("/", 1)[1]) for _, path in members]),
+            F.array(*[F.lit(m.isoformat()).cast("date") for m, _ in members]),
+        )
+        month = F.coalesce(F.try_element_at(months, name), F.try_element_at(months, above))
+        tagged = lower_columns(df.withColumn("ingest_month", month))
+        merged = tagged if merged is None else merged.unionByName(tagged, allowMissingColumns=True)
     return merged
 
 
-def file_fingerprints(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """SHA-256 of each file's bytes: one file per task, nothing on the driver.
+CHUNK = 1 << 22
+
+
+def _hash_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, n_bytes) → the same and the SHA-256, a chunk of the file in memory at a time."""
+    for batch in batches:
+        digests = []
+        for path in batch.column("path").to_pylist():
+            store, inside = fs.FileSystem.from_uri(path)
+            running = hashlib.sha256()
+            with store.open_input_stream(inside) as stream:
+                while chunk := stream.read(CHUNK):
+                    running.update(chunk)
+            digests.append(running.hexdigest())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("path"), batch.column("n_bytes"), pa.array(digests, pa.string())],
+            ["path", "n_bytes", "file_sha256"],
+        )
+
+
+def file_fingerprints(
+    spark: SparkSession, paths: str | list[str], whole_up_to: int = 1 << 26
+) -> DataFrame:
+    """SHA-256 of each file's bytes, for files of any size; nothing reaches the driver.
 
-    A file is hashed as one value, so Spark's ``binaryFile`` size limit applies;
-    files above it are refused up front from their listed length.
+    Files up to ``whole_up_to`` bytes are hashed as one value by Spark's file reader.
+    Larger ones are opened in the tasks and hashed in chunks of a fixed size.
     """
     files = spark.read.format("binaryFile").load(paths)
-    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
-    oversized = [r.path for r in files.where(F.col("length") > limit).select("path").limit(5).collect()]
-    if oversized:
-        raise ValueError(f"files above {limit} bytes cannot be fingerprinted: {oversized}")
-    return files.select(
-        "path",
-        F.col("length").alias("n_bytes"),
-        F.sha2("content", 256).alias("file_sha256"),
+    small = files.where(F.col("length") <= whole_up_to).select(
+        "path", F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("file_sha256")
     )
+    large = files.where(F.col("length") > whole_up_to).select("path", F.col("length").alias("n_bytes"))
+    hashed = large.mapInArrow(_hash_in_chunks, "path string, n_bytes long, file_sha256 string")
+    return small.unionByName(hashed)

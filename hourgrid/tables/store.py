@@ -1,8 +1,10 @@
 """Keyed and partition-level writes to catalog tables on plain Parquet.
 
 Every rewrite is a dynamic partition overwrite: new files are staged and take
-the place of the old partition only when the job commits, so a failed job
-leaves the old rows. Concurrent writers to one table are out of scope.
+the place of the old partition only when the job commits, so a job that fails
+before its commit leaves the old rows. The commit itself goes partition by
+partition and is not atomic over several. Concurrent writers to one table are
+out of scope.
 """
 
 from __future__ import annotations
@@ -91,11 +93,18 @@ def replace_partition(
 ) -> int:
     """Make ``df`` the whole content of one month; returns its row count.
 
-    A dynamic overwrite with no rows would leave the old month in place, so an
-    empty result drops the partition instead.
+    ``ingest_month`` is added where it is absent; a row of another month stops the
+    write before anything is replaced. A dynamic overwrite with no rows would leave
+    the old month in place, so an empty result drops the partition in a second step.
     """
     spark = df.sparkSession
-    rows, seen = _counted(align(df.withColumn("ingest_month", as_date(month)), table, schema_mode))
+    if "ingest_month" in df.columns:
+        stated = F.col("ingest_month").cast("date")
+        stray = F.raise_error(F.concat(F.lit(f"a row outside {month}: "), stated.cast("string")))
+        own = F.when(stated.eqNullSafe(as_date(month)), stated).otherwise(stray)
+    else:
+        own = as_date(month)
+    rows, seen = _counted(align(df.withColumn("ingest_month", own), table, schema_mode))
     _overwrite_partitions(rows, table)
     written = seen.get["n_rows"]
     if written == 0:
@@ -109,14 +118,21 @@ def _partition_values(df: DataFrame, parts: Sequence[str]) -> set[tuple]:
 
 
 def _in_partitions(df: DataFrame, parts: Sequence[str], values: set[tuple]) -> DataFrame:
-    """Rows of the given partitions: a literal predicate, so others are not read."""
-    chosen = F.lit(False)
-    for value in values:
-        same = F.lit(True)
-        for name, part in zip(parts, value, strict=True):
-            same = same & F.col(name).eqNullSafe(F.lit(part))
-        chosen = chosen | same
-    return df.where(chosen)
+    """Rows of the given partitions; others are not read.
+
+    One list of values per partition column prunes at planning time. With several
+    columns the lists admit more combinations than asked for, which a join with
+    the wanted ones takes out.
+    """
+    for place, name in enumerate(parts):
+        known = {v[place] for v in values}
+        listed = F.col(name).isin(*(known - {None})) if known - {None} else F.lit(False)
+        df = df.where(listed | F.col(name).isNull() if None in known else listed)
+    if len(parts) > 1 and values:
+        wanted = df.sparkSession.createDataFrame(list(values), df.select(*parts).schema).alias("w")
+        same = [F.col(f"t.{n}").eqNullSafe(F.col(f"w.{n}")) for n in parts]
+        df = df.alias("t").join(wanted, same, "left_semi")
+    return df
 
 
 def insert_ignore(df: DataFrame, table: str, keys: Sequence[str]) -> int:
@@ -187,6 +203,14 @@ def check_constraints(df: DataFrame, keys: Sequence[str] = (), not_null: Sequenc
             raise ValueError(f"repeated keys: {repeated}")
 
 
+def analyze_partitions(df: DataFrame, table: str) -> None:
+    """Refresh the statistics of the partitions that ``df``'s rows lie in, and of no other."""
+    parts = partition_columns(df.sparkSession, table)
+    for value in _partition_values(df, parts):
+        spec = ", ".join(f"`{n}` = '{v}'" for n, v in zip(parts, value, strict=True))
+        df.sparkSession.sql(f"ANALYZE TABLE {table} PARTITION ({spec}) COMPUTE STATISTICS")
+
+
 def analyze(
     spark: SparkSession, table: str, month: dt.date | str | None = None, all_columns: bool = False
 ) -> None:
@@ -210,7 +234,7 @@ def evolve_table(
     """Add columns in place; retyping rewrites the table.
 
     The retyped rows are written to a table beside the old one, which is dropped
-    only then, and are copied back under the old name. All rows are in a complete
+    only then, and that table takes the old name. All rows are in a complete
     table at every moment, so a stopped migration loses nothing.
     """
     stored = spark.table(table)
@@ -224,8 +248,19 @@ def evolve_table(
     rewritten = f"{table}__rewritten"
     _save_as(evolve(stored, add_columns, retype), rewritten, parts)
     spark.sql(f"DROP TABLE {table}")
-    _save_as(spark.table(rewritten), table, parts)
-    spark.sql(f"DROP TABLE {rewritten}")
+    spark.sql(f"ALTER TABLE {rewritten} RENAME TO {table}")
+    if parts:
+        _relocate_partitions(spark, table)
+
+
+def _relocate_partitions(spark: SparkSession, table: str) -> None:
+    """Point every partition at the table's folder; not every catalog does so on a rename."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    folder = described.first()["data_type"]
+    for (path,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        spec = ", ".join("`{}` = '{}'".format(*step.split("=", 1)) for step in path.split("/"))
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}/{path}'")
+    spark.catalog.refreshTable(table)
 
 
 def _save_as(df: DataFrame, table: str, parts: list[str]) -> None:

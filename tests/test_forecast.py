@@ -240,3 +240,30 @@ def test_recursive_upsert_replaces_the_same_forecast(spark, database):
     assert len(stored) == 2 and {r.yhat for r in stored} == {3.0}
     assert forecast.already_forecast(spark.table(table), *args)
     assert not forecast.already_forecast(spark.table(table), forecast.RECURSIVE_MODEL, END, 24)
+
+
+def test_second_run_leaves_the_files_of_the_first(spark, database):
+    from hourgrid.plans import forecast
+
+    table = f"{database}.p"
+    rows = spark.createDataFrame(
+        [(dt.datetime(2025, 1, 25, 0), 1, 2.0)], "hour_start timestamp_ntz, pu_location int, yhat double"
+    )
+    files = []
+    for day in (25, 26):
+        end = dt.datetime(2025, 1, day)
+        run = dt.datetime(2025, 2, day, tzinfo=dt.timezone.utc)
+        made = forecast.as_predictions(rows, run, "m", end, 24)
+        keys = [*forecast.schemas.PREDICTION_IDENTITY_KEY, "train_day"]
+        forecast.write_predictions(made, table, keys, ["yhat", "run_ts"])
+        files.append(set(spark.table(table).inputFiles()))
+    assert spark.table(table).count() == 2 and files[0] < files[1]
+
+
+def test_strict_history_adds_up_repeated_hours(spark):
+    from hourgrid.plans import forecast
+
+    hour = dt.datetime(2025, 1, 24, 23)
+    rows = spark.createDataFrame([(hour, 1, 2), (hour, 1, 3)], "hour_start timestamp_ntz, pu_location int, trip_count int")
+    buf = forecast.history_buffers(rows, dt.datetime(2025, 1, 25), strict_hours=True).first()["buf"]
+    assert buf[-1] == 5.0 and sum(buf) == 5.0

@@ -223,13 +223,42 @@ def test_source_checks(spark, tmp_path):
     path = write_month(spark, tmp_path, "2025-01-05", 3)
     with open(path, "rb") as f:
         assert file_fingerprints(spark, path).first().file_sha256 == hashlib.sha256(f.read()).hexdigest()
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
-    try:
-        with pytest.raises(ValueError, match="above 10 bytes"):
-            file_fingerprints(spark, path)
-    finally:
-        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    whole, chunked = file_fingerprints(spark, path), file_fingerprints(spark, path, whole_up_to=10)
+    assert whole.collect() == chunked.collect()
     with pytest.raises(ValueError, match="only by case"):
         lower_columns(spark.range(1).toDF("A").withColumn("a ", F.lit(1)).toDF("A", "a"))
     assert months_between(dt.date(2024, 11, 1), FEB) == [dt.date(2024, 11, 1), dt.date(2024, 12, 1), JAN, FEB]
     assert months_between(FEB, JAN) == []
+
+
+def test_replace_checks_the_stated_month(spark, database):
+    from hourgrid.tables.store import create_like, replace_partition
+
+    rows = spark.createDataFrame([(1, JAN), (2, JAN)], "k int, ingest_month date")
+    table = f"{database}.t"
+    create_like(rows, table)
+    assert replace_partition(rows, table, JAN) == 2
+    with pytest.raises(Exception, match="outside 2025-01-01"):
+        replace_partition(rows.union(spark.createDataFrame([(3, FEB)], rows.schema)), table, JAN)
+    assert spark.table(table).count() == 2
+
+
+def test_keyed_writes_over_many_partitions_plan_quickly(spark, database):
+    import time
+
+    from hourgrid.tables.store import _in_partitions
+
+    rows = spark.range(6000).selectExpr("id AS p", "id % 7 AS q", "id AS v")
+    started = time.time()
+    chosen = _in_partitions(rows, ["p", "q"], {(k, k % 7) for k in range(5000)} | {(5999, 6)})
+    assert chosen.count() == 5000
+    assert _in_partitions(rows, ["p"], {(k,) for k in range(5000)}).count() == 5000
+    assert time.time() - started < 30
+
+
+def test_null_keys_are_never_equal(spark):
+    from hourgrid.operators.keyed import new_rows
+
+    batch = spark.createDataFrame([(None, 1), (None, 1), (1, 2), (1, 3), (2, 4)], "k int, v int")
+    stored = spark.createDataFrame([(None, 9), (2, 9)], "k int, v int")
+    assert sorted((r.k or 0, r.v) for r in new_rows(batch, stored, ["k"]).collect()) == [(0, 1), (0, 1), (1, 2)]
