@@ -240,8 +240,9 @@ def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER BY started_at DESC, dataset, year, month LIMIT 5""",
 )
 def newest_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = state.latest_state(_load_log(spark, sf_dir)).orderBy(F.desc("started_at"), "dataset", "year", "month")
-    return newest.limit(5).select("dataset", "year", "month", "status")
+    table(spark, sf_dir, "orders").createOrReplaceTempView("hourgrid_orders")
+    _, newest = scans.ingest_status(spark, "hourgrid_orders", state.latest_state(_load_log(spark, sf_dir)))
+    return newest.select("dataset", "year", "month", "status")
 
 
 @query(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.functions.clock import add_hours, ntz
+from hourgrid.functions.clock import ntz
 from hourgrid.models.baselines import ExpressionModel
 from hourgrid.models.boosting import PoissonBoosting
 from hourgrid.models.glm import fit_poisson_glm
@@ -141,8 +141,8 @@ def recursive_forecast_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("latest_train_end", sql=with_features("SELECT max(hour_start) + INTERVAL 1 HOUR AS train_end FROM features"))
 def latest_train_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = inputs.filled(spark, sf_dir).agg(F.max("hour_start").alias("newest"))
-    return newest.select(add_hours(ntz(F.col("newest")), 1).alias("train_end"))
+    end = forecast.latest_train_end(inputs.filled(spark, sf_dir))
+    return spark.range(1).select(ntz(end).alias("train_end"))
 
 
 def _serving_features(spark: SparkSession, sf_dir: str) -> DataFrame:

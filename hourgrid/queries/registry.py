@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = ["cleaning", "demand", "series", "scores", "exploration", "changes", "forecasts"]
+_MODULES = ["cleaning", "demand", "series", "scores", "exploration", "changes", "forecasts", "stored"]
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
 
