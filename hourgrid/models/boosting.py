@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.operators.scoring import drop_nulls
 from hourgrid.schemas import BOOSTING_FEATURES, TARGET
-from hourgrid.session import cut_lineage, shuffle_partitions
+from hourgrid.session import cut_lineage, release, shuffle_partitions
 
 # Bounds of the fitted mean while training; keep weights and targets finite.
 MEAN_FLOOR, MEAN_CEILING = 1e-6, 1e9
@@ -141,6 +141,7 @@ class PoissonBoosting:
         trees: list[DecisionTreeRegressionModel] = []
         losses: dict[bool, list[float]] = {False: [], True: []}
         best, since_best = math.inf, 0
+        stage, old_stage = None, None
         for round_number in range(1, self.iterations + 1):
             training = current.where(~F.col("held_out")).select(
                 "features",
@@ -155,7 +156,8 @@ class PoissonBoosting:
                 (F.col("score") + self.learning_rate * F.col("step")).alias("score"),
             )
             if round_number % self.checkpoint_every == 0:
-                stepped = cut_lineage(stepped)
+                old_stage, stage = stage, cut_lineage(stepped)
+                stepped = stage
             stepped = stepped.persist(StorageLevel.MEMORY_AND_DISK)
             # Fills the cache and measures the round; at most two rows.
             loss = F.avg(_mean() - F.col("y") * F.log(_mean()))
@@ -163,6 +165,9 @@ class PoissonBoosting:
                 losses[row.held_out].append(row.loss)
             current.unpersist()
             current = stepped
+            if old_stage is not None:
+                release(old_stage)
+                old_stage = None
             trees.append(tree)
             if losses[True]:
                 if losses[True][-1] < best - self.tolerance:
@@ -172,5 +177,6 @@ class PoissonBoosting:
                 if since_best >= self.patience:
                     break
         current.unpersist()
+        release(*[s for s in (stage, rows) if s is not None])
         ensemble = _ensemble(rows.sparkSession, trees, self.learning_rate)
         return PoissonBoostingModel(features, base, ensemble, losses[False], losses[True])

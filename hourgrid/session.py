@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -59,8 +60,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/frames/{uuid.uuid4().hex}"
+    if not _stages:
+        atexit.register(_release_all, spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _stages[path] = staged.stage_path = path
+    return staged
+
+
+# Stage folders written by this process and not yet released.
+_stages: dict[str, str] = {}
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the files of frames from ``cut_lineage`` that nothing will read any more."""
+    for df in staged:
+        path = _stages.pop(df.stage_path, None)
+        if path:
+            _delete(df.sparkSession, path)
+
+
+def stage_folders() -> list[str]:
+    return list(_stages)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _release_all(spark: SparkSession) -> None:
+    """At the end of the process, whatever a returned frame may have read until then."""
+    if spark.sparkContext._jsc is None:
+        return  # stopped: the cluster's cleaner of the checkpoint folder has to see to them
+    for path in list(_stages):
+        _delete(spark, _stages.pop(path))
 
 
 @contextmanager

@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType, StructType
 
 from hourgrid.functions.clock import as_date
 from hourgrid.operators.keyed import duplicate_keys, evolve, new_rows, upsert_rows
-from hourgrid.session import cut_lineage, session_setting
+from hourgrid.session import cut_lineage, release, session_setting
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -142,10 +142,13 @@ def insert_ignore(df: DataFrame, table: str, keys: Sequence[str]) -> int:
     """
     spark = df.sparkSession
     target, parts = spark.table(table), partition_columns(spark, table)
-    if parts and set(parts) <= set(keys):
-        df = cut_lineage(df)
-        target = _in_partitions(target, parts, _partition_values(df, parts))
-    return bulk_append(new_rows(df, target, keys), table)
+    if not (parts and set(parts) <= set(keys)):
+        return bulk_append(new_rows(df, target, keys), table)
+    batch = cut_lineage(df)
+    target = _in_partitions(target, parts, _partition_values(batch, parts))
+    count = bulk_append(new_rows(batch, target, keys), table)
+    release(batch)
+    return count
 
 
 def upsert(df: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
@@ -171,12 +174,14 @@ def upsert(df: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence
     rows = align(upsert_rows(_in_partitions(target, parts, touched), batch, keys, update_cols), table)
     if stays_put:
         _overwrite_partitions(rows, table)
+        release(batch)
         return
     rows = cut_lineage(rows)
     _overwrite_partitions(rows, table)
     for value in touched - _partition_values(rows, parts):
         spec = ", ".join(f"`{name}` = '{part}'" for name, part in zip(parts, value, strict=True))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    release(batch, rows)
 
 
 def insert_select(df: DataFrame, table: str, keys: Sequence[str], not_null: Sequence[str] = ()) -> int:

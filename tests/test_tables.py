@@ -262,3 +262,17 @@ def test_null_keys_are_never_equal(spark):
     batch = spark.createDataFrame([(None, 1), (None, 1), (1, 2), (1, 3), (2, 4)], "k int, v int")
     stored = spark.createDataFrame([(None, 9), (2, 9)], "k int, v int")
     assert sorted((r.k or 0, r.v) for r in new_rows(batch, stored, ["k"]).collect()) == [(0, 1), (0, 1), (1, 2)]
+
+
+def test_writers_leave_no_stage_folder(spark, database):
+    from hourgrid.session import stage_folders
+    from hourgrid.tables.store import bulk_append, create_like, insert_ignore, upsert
+
+    before = set(stage_folders())
+    rows = spark.range(20).selectExpr("id AS k", "id % 3 AS p", "id AS v")
+    table = f"{database}.t"
+    create_like(rows, table, ["p"])
+    bulk_append(rows, table)
+    insert_ignore(rows.selectExpr("k + 10 AS k", "p", "v"), table, ["k", "p"])
+    upsert(rows.selectExpr("k + 500 AS k", "p", "v"), table, ["k"], ["v"])
+    assert set(stage_folders()) == before
