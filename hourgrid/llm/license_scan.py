@@ -134,6 +134,12 @@ def _grams(words: Column) -> Column:
     return F.concat(words, runs(2), runs(3))
 
 
+def _pairs(words: Column) -> Column:
+    """The distinct pairs of neighbouring words."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, 2), " ")))
+
+
 def _notices(spark: SparkSession) -> DataFrame:
     pairs = [(f, t) for f, texts in TEMPLATES.items() for t in texts] + [(UNKNOWN, t) for t in OTHERS]
     rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(i).alias("number"), F.lit(t).alias("notice")) for i, (f, t) in enumerate(pairs)])
@@ -198,8 +204,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     families = sorted(r[0] for r in rows.select("family").distinct().collect())  # a fixed list
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     rows = rows.withColumn("label", number.cast("double"))
-    vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=3.0, vocabSize=1 << 14).fit(rows)
-    learner = LogisticRegression(family="multinomial", elasticNetParam=0.5, regParam=0.0005, maxIter=60)
+    vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=3.0, vocabSize=1 << 13).fit(rows)
+    learner = LogisticRegression(family="multinomial", elasticNetParam=0.5, regParam=0.0005, maxIter=40)
     classifier = learner.fit(vectors.transform(rows.where("NOT held")).select("features", "label"))
     model = LicenseModel(vectors, classifier, families, 0.0)
     held = model.classify(rows.where("held")).where(~F.col("best").isin(NONE, UNKNOWN))
@@ -234,16 +240,12 @@ def scan(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col:
     windows = windows.select(id_col, "line", "window", F.slice("_words", F.col("window") + 1, WINDOW).alias("words"))
     windows = windows.where(F.arrays_overlap("words", cues)).withColumn("grams", _grams(F.col("words")))
     found = model.classify(windows).where(F.col("best") != NONE)
-    pairs = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - 1, F.lit(1))), lambda i: F.array_join(F.slice(c, i, 2), " ")))
-    notices = {f: [t for t in texts] for f, texts in TEMPLATES.items()}
-    # The templates are a fixed list, so they are part of the expression.
-    likeness = F.lit(0.0)
-    for family, texts in notices.items():
-        ratios = [
-            F.size(F.array_intersect(pairs(words_of(F.lit(t))), F.col("_pairs"))) / F.size(pairs(words_of(F.lit(t)))) for t in texts
-        ]
-        likeness = F.when(F.col("best") == family, F.greatest(F.lit(0.0), *ratios)).otherwise(likeness)
-    compared = found.withColumn("_pairs", pairs(F.col("words"))).withColumn("similarity", likeness)
+    # The templates are a fixed list of a few rows, so the join is a broadcast of a bounded table.
+    notices = _notices(docs.sparkSession).groupBy(F.col("family").alias("best")).agg(F.collect_list(_pairs(F.col("words"))).alias("_notices"))
+    own = F.coalesce("_notices", F.array().cast("array<array<string>>"))
+    likeness = F.array_max(F.transform(own, lambda n: F.size(F.array_intersect(n, F.col("_pairs"))) / F.size(n)))
+    compared = found.withColumn("_pairs", _pairs(F.col("words"))).join(F.broadcast(notices), "best", "left")
+    compared = compared.withColumn("similarity", F.coalesce(likeness, F.lit(0.0)))
     confirmed = (F.col("similarity") >= CONFIRMED) & (F.col("probability") >= model.least)
     return compared.select(
         id_col, "line", "window",
