@@ -36,7 +36,7 @@ from hourgrid.llm.frames import stage
 WINDOW = 8
 LITERALS = 4
 MIN_COVERAGE = 0.5
-CACHE = 400_000
+CACHE = 100_000
 
 # Number words and units.
 NUMBER_WORDS = frozenset(

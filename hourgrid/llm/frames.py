@@ -25,8 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 _shipped: set[str] = set()
 
 
+# Texts are long: fewer rows than usual go to a Python worker at a time.
+ROWS_PER_BATCH = "1000"
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, through Spark's file server."""
+    """Give the executors this package, once per application, through Spark's file server.
+
+    Also bounds the memory of Python workers by the rows of an Arrow batch.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -42,7 +42,7 @@ RECALL = 0.999
 HASHES = 160
 SLACK = 0.2
 BLOCK = 1024
-CACHE = 400_000
+CACHE = 100_000
 
 _WORD = re.compile(r"\w+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)

@@ -40,7 +40,7 @@ UNLABELLED = 5_000
 ROUNDS = 4
 SHARDS = 4
 STEPS = 300
-CACHE = 400_000
+CACHE = 100_000
 PIECE = 1 << 20
 
 _kinds: np.ndarray | None = None

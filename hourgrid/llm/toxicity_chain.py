@@ -43,7 +43,7 @@ FOLDS = 3
 EPOCHS = 3
 SHARDS = 4
 PREFIX = 4
-CACHE = 400_000
+CACHE = 100_000
 
 _WORD = re.compile(r"[^\W_]+")
 _cache: dict[str, tuple[int, ...]] = {}
