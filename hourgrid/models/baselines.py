@@ -30,3 +30,9 @@ def baseline_lag(df: DataFrame, hours: int = 24) -> DataFrame:
 def baseline_roll(df: DataFrame, hours: int = 24) -> DataFrame:
     """The rolling mean; it includes the scored hour itself in the stored table."""
     return _present(df, f"roll_{hours}h")
+
+
+def stacked_baselines(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Rows of several baselines from one pass: ``model_name`` and ``yhat`` per named column."""
+    each = [F.struct(F.lit(n).alias("model_name"), F.col(c).cast("double").alias("yhat")) for n, c in columns.items()]
+    return df.withColumn("_m", F.explode(F.array(*each))).select("*", "_m.*").drop("_m").where("yhat IS NOT NULL")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid import schemas
@@ -137,12 +137,15 @@ def clock_day(train_end: dt.datetime | str) -> str:
 
 def as_predictions(
     forecast: DataFrame,
-    run_ts: dt.datetime,
-    model_name: str,
+    run_ts: dt.datetime | Column,
+    model_name: str | Column,
     train_end: dt.datetime,
     horizon_hours: int | None,
 ) -> DataFrame:
-    """Forecast rows in the layout of the predictions table; one ``run_ts`` per run."""
+    """Forecast rows in the layout of the predictions table; one ``run_ts`` per run.
+
+    Columns instead of values let one frame hold several runs.
+    """
     return forecast.select(
         clock.instant(run_ts).alias("run_ts"),
         "hour_start",

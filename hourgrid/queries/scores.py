@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.models.baselines import baseline_lag, baseline_roll
+from hourgrid.functions.clock import instant
+from hourgrid.models.baselines import baseline_lag, baseline_roll, stacked_baselines
 from hourgrid.operators import explore, scoring
 from hourgrid.operators.grid import filled_demand
 from hourgrid.operators.series import demand_features
@@ -51,11 +52,9 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(features: DataFrame) -> DataFrame:
     rows = scoring.within_horizon(features, SPLIT, HORIZON)
-    runs = [
-        as_predictions(frame, RUNS[name], name, SPLIT_TIME, HORIZON)
-        for name, frame in (("lag_24h", baseline_lag(rows)), ("roll_24h", baseline_roll(rows)))
-    ]
-    return runs[0].unionByName(runs[1])
+    both = stacked_baselines(rows, {"lag_24h": "lag_24h", "roll_24h": "roll_24h"})
+    run = F.coalesce(*[F.when(F.col("model_name") == n, instant(ts)) for n, ts in RUNS.items()])
+    return as_predictions(both, run, F.col("model_name"), SPLIT_TIME, HORIZON)
 
 
 def _mart_and_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
