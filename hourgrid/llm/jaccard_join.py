@@ -309,7 +309,10 @@ def similar_groups(
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document per class, the one with the smallest id; same columns."""
+    """``docs`` with one document per class, the one with the smallest id; same columns.
+
+    Rows that share an id are kept or dropped together; a row with a NULL id stays.
+    """
     groups = similar_groups(docs, id_col, text_col, **options)
     dropped = groups.where(F.col("class_id") < F.col(id_col)).select(F.col(id_col).alias("__dropped")).distinct()
     return docs.join(stage(dropped), F.col(id_col) == F.col("__dropped"), "left_anti")

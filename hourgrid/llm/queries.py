@@ -46,7 +46,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_main.extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    found = html_main.extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars", "host_path")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +63,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_mix.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    mixed = source_mix.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
