@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.llm.frames import stage
+from hourgrid.session import release
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -18,7 +19,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     links = stage(_ordered(edges))
     before = None
     while True:
-        links = stage(_small_star(_large_star(links)))
+        old, links = links, stage(_small_star(_large_star(links)))
+        release(old)
         now = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b") % 1_000_003)).first()
         if now == before:
             break

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.llm.frames import stage
+from hourgrid.session import release
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 BUCKET_KEYS = 100_000
@@ -102,7 +103,9 @@ def build_index(
     )
     chained = Window.partitionBy("bucket", "key").orderBy("keep_id", "sha")
     index = texts.repartitionByRange("bucket", "key").withColumn("chain", F.row_number().over(chained))
-    return rows, stage(index)
+    index = stage(index)
+    release(slots)
+    return rows, index
 
 
 def exact_groups(

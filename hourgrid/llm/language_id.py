@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from hourgrid.llm import linear
 from hourgrid.llm.frames import computed, objects, stage, unit_hash
+from hourgrid.session import release
 
 BUCKETS = 1 << 16
 ORDERS = 3
@@ -161,7 +162,9 @@ def train(
     )
     model = linear.Ftrl(buckets, len(languages), True, alpha=1.0, l1=0.02, l2=0.1)
     weights = linear.fit(rows.where("fit"), model, epochs, SHARDS)[0]
-    return LanguageModel(languages, idf, weights, _temperature(rows.where("NOT fit"), weights))
+    temperature = _temperature(rows.where("NOT fit"), weights)
+    release(rows)
+    return LanguageModel(languages, idf, weights, temperature)
 
 
 def _temperature(rows: DataFrame, weights: np.ndarray) -> float:

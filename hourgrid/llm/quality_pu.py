@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from hourgrid.llm import linear
 from hourgrid.llm.frames import computed, objects, stage, unit_hash
+from hourgrid.session import release
 
 SHAPES = 1 << 12
 STATISTICS = 1 << 9
@@ -175,7 +176,9 @@ def train(
     plain = linear.fit(fitted, linear.Ftrl(DIM, 1, False, alpha=0.3, l1=0.05), 3, SHARDS)[0][:, 0]
     held = _scores(rows.where("NOT fit"), plain)
     prior = estimate_prior(held.loc[held.y == 1, "s"].to_numpy(), held.loc[held.y == 0, "s"].to_numpy())
-    return QualityModel(_non_negative(fitted, prior), prior)
+    weights = _non_negative(fitted, prior)
+    release(rows)
+    return QualityModel(weights, prior)
 
 
 def _scores(rows: DataFrame, weights: np.ndarray) -> pd.DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from hourgrid.llm import linear
 from hourgrid.llm.frames import computed, objects, stage, unit_hash
+from hourgrid.session import release
 
 # Seed words of the earlier categories.
 CATEGORIES: dict[str, tuple[str, ...]] = {
@@ -129,7 +130,9 @@ def train(
         fitted = linear.fit(rows.withColumn("y", F.col("ys")[k]), model, EPOCHS, SHARDS, folds=FOLDS)
         weights[:, k] = fitted[0][:, 0]
         if k + 1 < len(names):
-            rows = stage(_with_out_of_fold(rows, [w[:, 0] for w in fitted[1:]], BUCKETS + k, layout))
+            old, rows = rows, stage(_with_out_of_fold(rows, [w[:, 0] for w in fitted[1:]], BUCKETS + k, layout))
+            release(old)
+    release(rows)
     return Chain(names, weights)
 
 
