@@ -2,13 +2,14 @@
 
 1. Texts become templates: numbers, names (capitalised words inside a
    sentence; a run of them is one) and units after a number are replaced by typed
-   placeholders, everything else is lower-cased.
+   placeholders, everything else is lower-cased. A capitalised word that starts a
+   sentence is read both ways, as a word and as a name.
 2. Every window of ``WINDOW`` template words is hashed. Windows of documents
    pass a fixed-size filter of the benchmark's windows, and what passes is joined
    to the benchmark's windows by hash.
 3. Matches are added up per document, item and offset. An offset counts only if
    its slots are consistent: one value of the item always stands for the same
-   value in the document.
+   value in the document. A sentence start that breaks this is read as a word.
 4. A document is contaminated by an item when the consistent windows cover at
    least ``min_coverage`` of the item's windows.
 
@@ -18,6 +19,7 @@ offset) are at most the item's length.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -37,6 +39,7 @@ WINDOW = 8
 LITERALS = 4
 MIN_COVERAGE = 0.5
 CACHE = 100_000
+CHUNK = 1 << 19
 
 # Number words and units.
 NUMBER_WORDS = frozenset(
@@ -54,6 +57,7 @@ _TOKEN = re.compile(r"\d(?:[\d.,]*\d)?|[^\W\d_]+|[.!?\n:]")
 _LOWER, _CAPITAL, _NUMBER, _UNIT, _MARK = range(5)
 _PLACEHOLDER = {k: np.uint64(xxhash.xxh64_intdigest(f"<{k}>")) for k in (_CAPITAL, _NUMBER, _UNIT)}
 _FACTOR = np.uint64(0x100000001B3)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Codes(dict):
@@ -78,50 +82,155 @@ class _Codes(dict):
 _codes = _Codes()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template word hashes, whether each is a slot, and the hash of what stood there."""
-    tokens = _TOKEN.findall(text)
-    codes = np.fromiter(map(_codes.__getitem__, tokens), np.uint64, len(tokens))
+def template(*texts: str) -> tuple[np.ndarray, ...]:
+    """Template word hashes, whether each is a slot, the hash of what stood there, two readings of starts, text number.
+
+    ``soft``: a capitalised word at a sentence start, a literal here, that may be a
+    name. ``joined``: a name right behind such a word, the same name if that is one.
+    """
+    listed = [["\n", *_TOKEN.findall(text)] for text in texts]
+    lengths = np.fromiter(map(len, listed), np.int64, len(listed))
+    number = np.repeat(np.arange(len(listed)), lengths)
+    codes = np.fromiter(map(_codes.__getitem__, itertools.chain.from_iterable(listed)), np.uint64, int(lengths.sum()))
     kind = (codes & np.uint64(7)).astype(np.int8)
     starts = np.concatenate([[True], kind[:-1] == _MARK]) if len(kind) else np.zeros(0, bool)
     words = kind != _MARK
-    codes, kind, starts = codes[words] & ~np.uint64(7), kind[words], starts[words]
-    before = np.concatenate([[_LOWER], kind[:-1]]) if len(kind) else kind
+    codes, kind, starts, number = codes[words] & ~np.uint64(7), kind[words], starts[words], number[words]
+    before = np.concatenate([[_LOWER], np.where(number[1:] == number[:-1], kind[:-1], _LOWER)]) if len(kind) else kind
+    soft = (kind == _CAPITAL) & starts
     name = (kind == _CAPITAL) & ~starts
     unit = (kind == _UNIT) & (before == _NUMBER)
     slot = name | unit | (kind == _NUMBER)
     hashed = codes.copy()
     for k, where in ((_CAPITAL, name), (_UNIT, unit), (_NUMBER, kind == _NUMBER)):
         hashed[where] = _PLACEHOLDER[k]
+    joined = name & np.concatenate([[False], soft[:-1]]) if len(name) else name
     # A run of names is one slot that holds all of them.
     again = name & np.concatenate([[False], name[:-1]]) if len(name) else name
     if again.any():
         group = np.cumsum(~again) - 1
-        order = np.arange(len(codes), dtype=np.uint64) + np.uint64(1)
+        order = np.arange(len(codes), dtype=np.uint64)
         values = np.zeros(int(group[-1]) + 1, np.uint64)
         first = np.flatnonzero(~again)
-        np.add.at(values, group, codes * (order - order[first][group] + np.uint64(1)))
-        hashed, slot, codes = hashed[first], slot[first], values
-    return hashed, slot, codes
-
-
-def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, hash (of windows with enough literal words), slot flags and slot values of the text."""
-    hashed, slot, values = template(text)
-    count = len(hashed) - WINDOW + 1
-    if count < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), slot, values
-    total = np.zeros(count, np.uint64)
-    for k in range(WINDOW):
-        total = (total ^ (total >> np.uint64(29))) * _FACTOR + hashed[k : k + count]
+        np.add.at(values, group, codes * _GOLDEN ** (order - order[first][group]))
+        hashed, slot, codes, soft, joined, number = hashed[first], slot[first], values, soft[first], joined[first], number[first]
+    return hashed, slot, codes, soft, joined, number
+
+
+_POWERS = np.array([pow(int(_FACTOR), k, 1 << 64) for k in range(WINDOW)], np.uint64)
+_LITERAL, _SLOT, _SOFT = range(3)
+
+
+def _mixed(total: np.ndarray) -> np.ndarray:
     total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    filled = np.concatenate([[0], np.cumsum(~slot)])
-    starts = np.flatnonzero(filled[WINDOW:] - filled[:-WINDOW] >= LITERALS)
-    return starts, total[starts].view(np.int64), slot, values
+    return (total ^ (total >> np.uint64(29))).view(np.int64)
+
+
+def _walk(parts: tuple[np.ndarray, ...], begin: np.ndarray, mask: int) -> tuple[np.ndarray, ...]:
+    """Windows at ``begin``, where bit k of ``mask`` says that their k-th start is a name: hash, literals, kinds, values.
+
+    Windows that leave their text or do not reach the last start of ``mask`` have no literals.
+    """
+    hashed, slot, values, soft, joined, number = parts
+    last, own = len(hashed) - 1, number[begin]
+    at, seen, bad = begin, np.zeros(len(begin), np.int64), np.zeros(len(begin), bool)
+    total, literals = np.zeros(len(begin), np.uint64), np.zeros(len(begin), np.int64)
+    kinds, held = [], []
+    for k in range(WINDOW):
+        here = np.minimum(at, last)
+        bad |= (at > last) | (number[here] != own)
+        first = soft[here]
+        named = first & ((mask >> np.minimum(seen, WINDOW)) & 1 > 0)
+        seen = seen + first
+        follows = np.minimum(here + 1, last)
+        run = named & (here < last) & joined[follows]
+        # A start with names behind it has the value that a run of all these names has inside a sentence.
+        held.append(np.where(run, values[here] + values[follows] * _GOLDEN, values[here]))
+        kinds.append(np.where(named, _SOFT, np.where(slot[here], _SLOT, _LITERAL)))
+        literals += kinds[-1] == _LITERAL
+        total += np.where(named, _PLACEHOLDER[_CAPITAL], hashed[here]) * _POWERS[k]
+        at = here + 1 + run
+    bad |= seen < mask.bit_length()
+    return _mixed(total), np.where(bad, 0, literals), np.stack(kinds, axis=1).astype(np.int8), np.stack(held, axis=1)
+
+
+def windows(*texts: str, bits: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, spot, eligible windows), hash, kinds and values of the windows with enough literal words.
+
+    Every capitalised sentence start is read both as a word and as a name, so one
+    place gives one window per reading of the starts in it. ``spot`` counts a start and
+    the names behind it once, and is odd in such names. With ``bits`` only windows that pass the filter.
+    """
+    parts = template(*texts)
+    hashed, slot, values, soft, joined, number = parts
+    found: list[tuple[np.ndarray, ...]] = []
+    count = max(0, len(hashed) - WINDOW + 1)
+    step = np.cumsum(~joined) - 1
+    eligible = np.zeros(len(texts), np.int64)
+    places = np.flatnonzero(number[:count] == number[WINDOW - 1 :]) if count else np.zeros(0, np.int64)
+    if count:
+        total = np.zeros(count, np.uint64)
+        for k in range(WINDOW):
+            total += hashed[k : k + count] * _POWERS[k]
+        filled = np.concatenate([[0], np.cumsum(~slot)])
+        begin = places[(filled[WINDOW:] - filled[:-WINDOW])[places] >= LITERALS]
+        eligible = np.bincount(number[begin], minlength=len(texts))
+        hashes = _mixed(total[begin])
+        if bits is not None:
+            hit = bloom.contains(bits, hashes)
+            begin, hashes = begin[hit], hashes[hit]
+        there = begin[:, None] + np.arange(WINDOW)
+        found.append((begin, hashes, slot[there].astype(np.int8), values[there]))
+    other = np.zeros(len(hashed), bool)
+    if bits is not None and len(places):
+        # The filter also holds the benchmark's words: no window over another word can match, but a start may be a name.
+        other = ~slot & ~bloom.contains(bits, hashed.view(np.int64))
+        strange, names = (np.concatenate([[0], np.cumsum(w)]) for w in (other & ~soft, other & soft))
+        possible = (strange[WINDOW:] == strange[:-WINDOW]) & (names[WINDOW:] - names[:-WINDOW] <= WINDOW - LITERALS)
+        places = places[possible[places]]
+    ahead = np.flatnonzero(soft)
+    upcoming = np.searchsorted(ahead, places)
+    needed = np.zeros(len(places), np.int64)
+    for b in range(1, WINDOW + 1):
+        near = upcoming + b <= len(ahead)
+        places, upcoming, needed = places[near], upcoming[near], needed[near]
+        near = step[ahead[upcoming + b - 1]] < step[places] + WINDOW
+        places, upcoming, needed = places[near], upcoming[near], needed[near]
+        needed = needed | other[ahead[upcoming + b - 1]].astype(np.int64) << (b - 1)
+        if not len(places):
+            break
+        for mask in range(1 << (b - 1), 1 << b):
+            if mask.bit_count() > WINDOW - LITERALS:
+                continue
+            begin = places[needed & ~mask == 0]
+            if not len(begin):
+                continue
+            hashes, literals, kinds, held = _walk(parts, begin, mask)
+            good = np.flatnonzero(literals >= LITERALS)
+            if bits is not None:
+                good = good[bloom.contains(bits, hashes[good])]
+            found.append((begin[good], hashes[good], kinds[good], held[good]))
+    if not found:
+        nothing = np.zeros((0, WINDOW), np.int8)
+        return np.zeros((0, 4), np.int64), np.zeros(0, np.int64), nothing, nothing.astype(np.uint64)
+    begin, hashes, kinds, held = (np.concatenate(column) for column in zip(*found, strict=True))
+    base = np.searchsorted(number, number[begin])
+    spot = 2 * (step[begin] - step[base]) + joined[begin]
+    return np.stack([number[begin], begin - base, spot, eligible[number[begin]]], axis=1), hashes, kinds, held
+
+
+_LAYOUT = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "place", "spot", "n", "hash")])
+_LAYOUT = _LAYOUT.add("slots", T.ArrayType(T.LongType())).add("soft", T.ArrayType(T.BooleanType()))
 
 
-_LAYOUT = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "place", "hash", "n")])
-_LAYOUT = _LAYOUT.add("slots", T.ArrayType(T.LongType()))
+def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``CHUNK`` characters together, which are cut into windows at once."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= CHUNK or i + 1 == len(texts):
+            yield begin, i + 1
+            begin, size = i + 1, 0
 
 
 def _windows_of(texts: DataFrame, bits: Broadcast | None) -> DataFrame:
@@ -131,22 +240,67 @@ def _windows_of(texts: DataFrame, bits: Broadcast | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[list] = [[] for _ in schema]
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                starts, hashes, slot, values = windows(text)
-                n = len(starts)
-                if bits is not None and n:
-                    hit = bloom.contains(bits.value, hashes)
-                    starts, hashes = starts[hit], hashes[hit]
-                for start, hashed in zip(starts.tolist(), hashes.tolist(), strict=True):
-                    there = slice(start, start + WINDOW)
-                    row = (key, start, hashed, n, values[there][slot[there]].view(np.int64))
-                    for column, value in zip(found, row, strict=True):
-                        column.append(value)
+            keys, texts = batch.column("key").to_pylist(), batch.column("text").to_pylist()
+            for begin, end in _chunks(texts):
+                where, hashes, kinds, held = windows(*texts[begin:end], bits=bits.value if bits is not None else None)
+                for (number, *place), hashed, kind, value in zip(where.tolist(), hashes.tolist(), kinds, held, strict=True):
+                    there = kind != _LITERAL
+                    row = (keys[begin + number], *place, hashed, value[there].view(np.int64), kind[there] == _SOFT)
+                    for column, one in zip(found, row, strict=True):
+                        column.append(one)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, schema, strict=True)], schema=schema)
 
     return texts.where("text IS NOT NULL").mapInArrow(run, _LAYOUT)
 
 
+def _words_of(texts: DataFrame) -> DataFrame:
+    """The distinct template words of ``texts`` (key, text), as ``hash``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashed, slot, *_ = template(*batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashed[~slot]).view(np.int64))], ["hash"])
+
+    return texts.where("text IS NOT NULL").mapInArrow(run, "hash long").distinct()
+
+
+def _pairs(hits: Column) -> Column:
+    """The distinct (theirs, own) of the slots of ``hits``."""
+    return F.array_distinct(F.transform(F.flatten(F.transform(hits, lambda h: h["pairs"])), _values_of))
+
+
+def _values_of(pair: Column) -> Column:
+    return F.struct(pair["theirs"].alias("theirs"), pair["own"].alias("own"))
+
+
+def _unique(pairs: Column) -> Column:
+    return F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: p["theirs"])))
+
+
+def _accepted(matched: DataFrame) -> DataFrame:
+    """(doc, item, n, offset, hits) of the hits that count.
+
+    The windows without a start read as a name count if their slots are
+    consistent. Further windows count if those are consistent with all that remain; a
+    start that would stand for two values is no name, and its windows are left out.
+    """
+    pair = F.arrays_zip(F.col("slots").alias("theirs"), F.col("own"), F.col("soft"), F.col("own_soft"))
+    hit = F.struct(F.col("item_at").alias("place"), pair.alias("pairs"))
+    offsets = matched.groupBy("doc", "item", "n", (F.col("at") - F.col("item_spot")).alias("offset")).agg(F.collect_set(hit).alias("hits"))
+    is_soft = lambda p: p["soft"] | p["own_soft"]
+    offsets = offsets.withColumn("plain", F.filter("hits", lambda h: ~F.exists(h["pairs"], is_soft)))
+    offsets = offsets.withColumn("_all", _pairs(F.col("hits")))
+    twice = F.filter(
+        F.array_distinct(F.col("_all.theirs")), lambda t: F.size(F.filter("_all", lambda p: p["theirs"] == t)) > 1
+    )
+    offsets = offsets.withColumn("_twice", twice)
+    clear = lambda h: ~F.exists(h["pairs"], lambda p: is_soft(p) & F.array_contains("_twice", p["theirs"]))
+    offsets = offsets.withColumn("clear", F.filter("hits", clear))
+    none = F.filter("hits", lambda h: F.lit(False))
+    kept = [F.when(_unique(_pairs(F.col(c))), F.col(c)).otherwise(none) for c in ("plain", "clear")]
+    return offsets.select("doc", "item", "n", "offset", F.array_union(*kept).alias("hits")).where("size(hits) > 0")
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -168,21 +322,19 @@ def find_leaks(
 
     items = benchmark.select(F.col(item_col).cast("long").alias("key"), F.col(item_text_col).alias("text"))
     known = stage(_windows_of(items, None))
-    bits = spark.sparkContext.broadcast(bloom.build(known, "hash"))
+    bits = spark.sparkContext.broadcast(bloom.build(known.select("hash").unionByName(_words_of(items)), "hash"))
     texts = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     hits = _windows_of(texts, bits)
-    matched = hits.select(F.col("key").alias("doc"), F.col("place").alias("at"), "hash", F.col("slots").alias("own")).join(
-        known.select(F.col("key").alias("item"), F.col("place").alias("item_at"), "hash", "slots", "n"), "hash"
-    )
-    offsets = matched.groupBy("doc", "item", "n", (F.col("at") - F.col("item_at")).alias("offset")).agg(
-        F.collect_set("item_at").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("slots").alias("theirs"), F.col("own").alias("own"))))).alias("pairs"),
+    matched = hits.select(
+        F.col("key").alias("doc"), F.col("spot").alias("at"), "hash", F.col("slots").alias("own"), F.col("soft").alias("own_soft")
+    ).join(
+        known.select(F.col("key").alias("item"), F.col("place").alias("item_at"), F.col("spot").alias("item_spot"), "hash", "slots", "soft", "n"),
+        "hash",
     )
-    consistent = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.theirs")))
-    changed = F.exists("pairs", lambda p: p["theirs"] != p["own"])
+    accepted = _accepted(matched)
+    changed = F.exists(_pairs(F.col("hits")), lambda p: p["theirs"] != p["own"])
     covered = (
-        offsets.where(consistent)
-        .select("doc", "item", "n", changed.alias("changed"), F.explode("places").alias("place"))
+        accepted.select("doc", "item", "n", changed.alias("changed"), F.explode("hits.place").alias("place"))
         .groupBy("doc", "item", "n")
         .agg(F.count_distinct("place").alias("covered"), F.max("changed").alias("reparameterised"))
     )

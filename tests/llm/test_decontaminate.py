@@ -28,6 +28,23 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert leaks(spark, [MIXED]) == {}
 
 
+APPLES = "Sam has 5 apples. Sam buys 3 more apples. Sam eats 2 apples. How many apples does Sam have?"
+
+
+@pytest.mark.parametrize("name", ["Mary", "Mary Ann"])
+def test_names_at_sentence_starts_are_slots(spark, name):
+    found = leaks(spark, [APPLES.replace("Sam", name), APPLES], [APPLES, APPLES.replace("Sam", "Sam Smith")])
+    assert set(found) == {(0, 0), (0, 1), (1, 0), (1, 1)}
+    assert found[0, 0]["reparameterised"] and found[1, 0]["coverage"] == 1.0
+
+
+def test_starts_with_two_values_are_words(spark):
+    item = "The red fox ran over the old wooden bridge at night. The dog slept in a warm house near the river, "
+    item += "where many small boats were tied up for the winter months and nobody came to look after them."
+    found = leaks(spark, [item.replace("The dog", "A dog"), item.replace("night. The", "night, the")], [item])
+    assert set(found) == {(0, 0), (1, 0)}
+
+
 def test_short_items_and_shared_starts_are_no_leak(spark):
     assert leaks(spark, ["two words", ITEM[:45]], ["two words", ITEM]) == {}
 
