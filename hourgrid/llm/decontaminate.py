@@ -10,8 +10,10 @@
 3. Matches are added up per document, item and offset. An offset counts only if
    its slots are consistent: one value of the item always stands for the same
    value in the document. A sentence start that breaks this is read as a word.
+   Windows with fewer than ``LITERALS`` literal words match only word for word, with
+   equal values; an item under ``WINDOW`` template words is one window.
 4. A document is contaminated by an item when the consistent windows cover at
-   least ``min_coverage`` of the item's windows.
+   least ``min_coverage`` of the item's windows with enough literal words, or of all.
 
 Nothing of document size leaves the tasks; matched windows per (document, item,
 offset) are at most the item's length.
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,7 @@ from hourgrid.llm.frames import stage
 
 WINDOW = 8
 LITERALS = 4
+SHORTEST = 3
 MIN_COVERAGE = 0.5
 CACHE = 100_000
 CHUNK = 1 << 19
@@ -126,8 +129,8 @@ def _mixed(total: np.ndarray) -> np.ndarray:
     return (total ^ (total >> np.uint64(29))).view(np.int64)
 
 
-def _walk(parts: tuple[np.ndarray, ...], begin: np.ndarray, mask: int) -> tuple[np.ndarray, ...]:
-    """Windows at ``begin``, where bit k of ``mask`` says that their k-th start is a name: hash, literals, kinds, values.
+def _walk(parts: tuple[np.ndarray, ...], begin: np.ndarray, mask: int, size: int) -> tuple[np.ndarray, ...]:
+    """Windows at ``begin``, where bit k of ``mask`` says that their k-th start is a name: hash, literals, kinds, values, end.
 
     Windows that leave their text or do not reach the last start of ``mask`` have no literals.
     """
@@ -136,7 +139,7 @@ def _walk(parts: tuple[np.ndarray, ...], begin: np.ndarray, mask: int) -> tuple[
     at, seen, bad = begin, np.zeros(len(begin), np.int64), np.zeros(len(begin), bool)
     total, literals = np.zeros(len(begin), np.uint64), np.zeros(len(begin), np.int64)
     kinds, held = [], []
-    for k in range(WINDOW):
+    for k in range(size):
         here = np.minimum(at, last)
         bad |= (at > last) | (number[here] != own)
         first = soft[here]
@@ -151,75 +154,104 @@ def _walk(parts: tuple[np.ndarray, ...], begin: np.ndarray, mask: int) -> tuple[
         total += np.where(named, _PLACEHOLDER[_CAPITAL], hashed[here]) * _POWERS[k]
         at = here + 1 + run
     bad |= seen < mask.bit_length()
-    return _mixed(total), np.where(bad, 0, literals), np.stack(kinds, axis=1).astype(np.int8), np.stack(held, axis=1)
+    return _mixed(total), np.where(bad, 0, literals), np.stack(kinds, axis=1).astype(np.int8), np.stack(held, axis=1), at
 
 
-def windows(*texts: str, bits: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, spot, eligible windows), hash, kinds and values of the windows with enough literal words.
-
-    Every capitalised sentence start is read both as a word and as a name, so one
-    place gives one window per reading of the starts in it. ``spot`` counts a start and
-    the names behind it once, and is odd in such names. With ``bits`` only windows that pass the filter.
-    """
-    parts = template(*texts)
+def _cut(parts: tuple[np.ndarray, ...], step: np.ndarray, size: int, bits: np.ndarray | None, whole: bool) -> list[tuple[np.ndarray, ...]]:
+    """Begin, hash, kinds and values of the windows of ``size`` words, of those that are a ``whole`` text if asked for."""
     hashed, slot, values, soft, joined, number = parts
     found: list[tuple[np.ndarray, ...]] = []
-    count = max(0, len(hashed) - WINDOW + 1)
-    step = np.cumsum(~joined) - 1
-    eligible = np.zeros(len(texts), np.int64)
-    places = np.flatnonzero(number[:count] == number[WINDOW - 1 :]) if count else np.zeros(0, np.int64)
-    if count:
-        total = np.zeros(count, np.uint64)
-        for k in range(WINDOW):
-            total += hashed[k : k + count] * _POWERS[k]
-        filled = np.concatenate([[0], np.cumsum(~slot)])
-        begin = places[(filled[WINDOW:] - filled[:-WINDOW])[places] >= LITERALS]
-        eligible = np.bincount(number[begin], minlength=len(texts))
+    count = max(0, len(hashed) - size + 1)
+    if not count:
+        return found
+
+    def keep(begin: np.ndarray, hashes: np.ndarray, end: np.ndarray) -> np.ndarray:
+        good = np.ones(len(begin), bool)
+        if whole:
+            good &= (begin == np.searchsorted(number, number[begin])) & (end == np.searchsorted(number, number[begin], "right"))
+        return good & bloom.contains(bits, hashes) if bits is not None else good
+
+    places = np.flatnonzero(number[:count] == number[size - 1 :])
+    filled = np.concatenate([[0], np.cumsum(~slot)])
+    many = (filled[size:] - filled[:-size])[places] >= LITERALS
+    # Windows with few literal words match only with the same values: nothing is a slot there.
+    for begin, words, open_slots, salt in ((places[many], hashed, slot, 0), (places[~many], values, np.zeros(len(slot), bool), 1)):
+        total = np.full(count, salt * _GOLDEN + np.uint64(size), np.uint64)
+        for k in range(size):
+            total += words[k : k + count] * _POWERS[k]
         hashes = _mixed(total[begin])
-        if bits is not None:
-            hit = bloom.contains(bits, hashes)
-            begin, hashes = begin[hit], hashes[hit]
-        there = begin[:, None] + np.arange(WINDOW)
-        found.append((begin, hashes, slot[there].astype(np.int8), values[there]))
+        good = keep(begin, hashes, begin + size)
+        begin, hashes = begin[good], hashes[good]
+        there = begin[:, None] + np.arange(size)
+        found.append((begin, hashes, open_slots[there].astype(np.int8), values[there]))
     other = np.zeros(len(hashed), bool)
-    if bits is not None and len(places):
+    if bits is not None:
         # The filter also holds the benchmark's words: no window over another word can match, but a start may be a name.
         other = ~slot & ~bloom.contains(bits, hashed.view(np.int64))
         strange, names = (np.concatenate([[0], np.cumsum(w)]) for w in (other & ~soft, other & soft))
-        possible = (strange[WINDOW:] == strange[:-WINDOW]) & (names[WINDOW:] - names[:-WINDOW] <= WINDOW - LITERALS)
+        possible = (strange[size:] == strange[:-size]) & (names[size:] - names[:-size] <= size - LITERALS)
         places = places[possible[places]]
     ahead = np.flatnonzero(soft)
     upcoming = np.searchsorted(ahead, places)
     needed = np.zeros(len(places), np.int64)
-    for b in range(1, WINDOW + 1):
+    for b in range(1, size + 1):
         near = upcoming + b <= len(ahead)
         places, upcoming, needed = places[near], upcoming[near], needed[near]
-        near = step[ahead[upcoming + b - 1]] < step[places] + WINDOW
+        near = step[ahead[upcoming + b - 1]] < step[places] + size
         places, upcoming, needed = places[near], upcoming[near], needed[near]
         needed = needed | other[ahead[upcoming + b - 1]].astype(np.int64) << (b - 1)
         if not len(places):
             break
         for mask in range(1 << (b - 1), 1 << b):
-            if mask.bit_count() > WINDOW - LITERALS:
+            if mask.bit_count() > size - LITERALS:
                 continue
             begin = places[needed & ~mask == 0]
             if not len(begin):
                 continue
-            hashes, literals, kinds, held = _walk(parts, begin, mask)
+            hashes, literals, kinds, held, end = _walk(parts, begin, mask, size)
             good = np.flatnonzero(literals >= LITERALS)
-            if bits is not None:
-                good = good[bloom.contains(bits, hashes[good])]
+            good = good[keep(begin[good], hashes[good], end[good])]
             found.append((begin[good], hashes[good], kinds[good], held[good]))
+    return found
+
+
+def windows(
+    *texts: str, bits: np.ndarray | None = None, sizes: Iterable[int] = (WINDOW,), whole: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, spot, eligible windows, all windows, is eligible, words), hash, kinds and values of the windows.
+
+    A window is eligible with enough literal words; the others match only with equal
+    values. Every capitalised sentence start is read both as a word and as a name, so
+    one place gives one window per reading of the starts in it. ``spot`` counts a
+    start and the names behind it once, and is odd in such names. ``sizes`` lists the
+    words per window; with ``whole`` those under ``WINDOW`` must be all of a text.
+    With ``bits`` only windows that pass the filter.
+    """
+    parts = template(*texts)
+    hashed, slot, values, soft, joined, number = parts
+    step = np.cumsum(~joined) - 1
+    found: list[tuple[np.ndarray, ...]] = []
+    for size in sizes:
+        for begin, hashes, kinds, held in _cut(parts, step, size, bits, whole and size < WINDOW):
+            room = ((0, 0), (0, WINDOW - size))
+            found.append((begin, hashes, np.pad(kinds, room), np.pad(held, room), np.full(len(begin), size)))
     if not found:
         nothing = np.zeros((0, WINDOW), np.int8)
-        return np.zeros((0, 4), np.int64), np.zeros(0, np.int64), nothing, nothing.astype(np.uint64)
-    begin, hashes, kinds, held = (np.concatenate(column) for column in zip(*found, strict=True))
-    base = np.searchsorted(number, number[begin])
+        return np.zeros((0, 7), np.int64), np.zeros(0, np.int64), nothing, nothing.astype(np.uint64)
+    begin, hashes, kinds, held, size = (np.concatenate(column) for column in zip(*found, strict=True))
+    count = max(0, len(hashed) - WINDOW + 1)
+    places = np.flatnonzero(number[:count] == number[len(number) - count :])
+    filled = np.concatenate([[0], np.cumsum(~slot)])
+    eligible = np.zeros(len(hashed), bool)
+    eligible[places] = (filled[places + WINDOW] - filled[places]) >= LITERALS
+    n, every = np.bincount(number[eligible], minlength=len(texts)), np.bincount(number[places], minlength=len(texts))
+    base, text = np.searchsorted(number, number[begin]), number[begin]
     spot = 2 * (step[begin] - step[base]) + joined[begin]
-    return np.stack([number[begin], begin - base, spot, eligible[number[begin]]], axis=1), hashes, kinds, held
+    where = np.stack([text, begin - base, spot, n[text], every[text], eligible[begin], size], axis=1)
+    return where, hashes, kinds, held
 
 
-_LAYOUT = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "place", "spot", "n", "hash")])
+_LAYOUT = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "place", "spot", "n", "every", "eligible", "size", "hash")])
 _LAYOUT = _LAYOUT.add("slots", T.ArrayType(T.LongType())).add("soft", T.ArrayType(T.BooleanType()))
 
 
@@ -233,7 +265,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
             begin, size = i + 1, 0
 
 
-def _windows_of(texts: DataFrame, bits: Broadcast | None) -> DataFrame:
+def _windows_of(texts: DataFrame, bits: Broadcast | None, sizes: list[int], whole: bool) -> DataFrame:
     """One row per window of ``texts`` (key, text), of those that pass the filter if there is one."""
     schema = to_arrow_schema(_LAYOUT)
 
@@ -242,7 +274,8 @@ def _windows_of(texts: DataFrame, bits: Broadcast | None) -> DataFrame:
             found: list[list] = [[] for _ in schema]
             keys, texts = batch.column("key").to_pylist(), batch.column("text").to_pylist()
             for begin, end in _chunks(texts):
-                where, hashes, kinds, held = windows(*texts[begin:end], bits=bits.value if bits is not None else None)
+                filled = bits.value if bits is not None else None
+                where, hashes, kinds, held = windows(*texts[begin:end], bits=filled, sizes=sizes, whole=whole)
                 for (number, *place), hashed, kind, value in zip(where.tolist(), hashes.tolist(), kinds, held, strict=True):
                     there = kind != _LITERAL
                     row = (keys[begin + number], *place, hashed, value[there].view(np.int64), kind[there] == _SOFT)
@@ -278,15 +311,15 @@ def _unique(pairs: Column) -> Column:
 
 
 def _accepted(matched: DataFrame) -> DataFrame:
-    """(doc, item, n, offset, hits) of the hits that count.
+    """(doc, item, n, every, offset, hits) of the hits that count.
 
     The windows without a start read as a name count if their slots are
     consistent. Further windows count if those are consistent with all that remain; a
     start that would stand for two values is no name, and its windows are left out.
     """
     pair = F.arrays_zip(F.col("slots").alias("theirs"), F.col("own"), F.col("soft"), F.col("own_soft"))
-    hit = F.struct(F.col("item_at").alias("place"), pair.alias("pairs"))
-    offsets = matched.groupBy("doc", "item", "n", (F.col("at") - F.col("item_spot")).alias("offset")).agg(F.collect_set(hit).alias("hits"))
+    hit = F.struct(F.col("item_at").alias("place"), "eligible", "size", pair.alias("pairs"))
+    offsets = matched.groupBy("doc", "item", "n", "every", (F.col("at") - F.col("item_spot")).alias("offset")).agg(F.collect_set(hit).alias("hits"))
     is_soft = lambda p: p["soft"] | p["own_soft"]
     offsets = offsets.withColumn("plain", F.filter("hits", lambda h: ~F.exists(h["pairs"], is_soft)))
     offsets = offsets.withColumn("_all", _pairs(F.col("hits")))
@@ -298,7 +331,7 @@ def _accepted(matched: DataFrame) -> DataFrame:
     offsets = offsets.withColumn("clear", F.filter("hits", clear))
     none = F.filter("hits", lambda h: F.lit(False))
     kept = [F.when(_unique(_pairs(F.col(c))), F.col(c)).otherwise(none) for c in ("plain", "clear")]
-    return offsets.select("doc", "item", "n", "offset", F.array_union(*kept).alias("hits")).where("size(hits) > 0")
+    return offsets.select("doc", "item", "n", "every", "offset", F.array_union(*kept).alias("hits")).where("size(hits) > 0")
 
 
 def find_leaks(
@@ -313,37 +346,53 @@ def find_leaks(
     """(id, item, windows, covered, coverage, reparameterised), one row per contaminated document and item.
 
     ``reparameterised``: some slot holds another value than in the item. Defined
-    cases: NULL and empty texts have no windows and are never contaminated, and items
-    of fewer than ``WINDOW`` words contaminate nothing; rows that share an id are
+    cases: NULL and empty texts have no windows and are never contaminated, items
+    of fewer than ``WINDOW`` template words match as a whole and those of fewer than ``SHORTEST``
+    contaminate nothing; rows that share an id are
     judged together; copies are judged alike; further columns are ignored; an
     empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
 
     items = benchmark.select(F.col(item_col).cast("long").alias("key"), F.col(item_text_col).alias("text"))
-    known = stage(_windows_of(items, None))
+    known = stage(_windows_of(items, None, list(range(SHORTEST, WINDOW + 1)), True))
     bits = spark.sparkContext.broadcast(bloom.build(known.select("hash").unionByName(_words_of(items)), "hash"))
     texts = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    hits = _windows_of(texts, bits)
+    sizes = sorted({WINDOW, *(r["size"] for r in known.select("size").distinct().collect())})  # at most WINDOW numbers
+    hits = _windows_of(texts, bits, sizes, False)
     matched = hits.select(
         F.col("key").alias("doc"), F.col("spot").alias("at"), "hash", F.col("slots").alias("own"), F.col("soft").alias("own_soft")
     ).join(
-        known.select(F.col("key").alias("item"), F.col("place").alias("item_at"), F.col("spot").alias("item_spot"), "hash", "slots", "soft", "n"),
+        known.select(F.col("key").alias("item"), F.col("place").alias("item_at"), F.col("spot").alias("item_spot"), "hash", "slots", "soft", "n", "every",
+            "eligible", "size",
+        ),
         "hash",
     )
     accepted = _accepted(matched)
     changed = F.exists(_pairs(F.col("hits")), lambda p: p["theirs"] != p["own"])
+    eligible = F.when(F.col("hit.eligible") == 1, F.col("hit.place"))
     covered = (
-        accepted.select("doc", "item", "n", changed.alias("changed"), F.explode("hits.place").alias("place"))
-        .groupBy("doc", "item", "n")
-        .agg(F.count_distinct("place").alias("covered"), F.max("changed").alias("reparameterised"))
+        accepted.select("doc", "item", "n", "every", changed.alias("changed"), F.explode("hits").alias("hit"))
+        .groupBy("doc", "item", "n", "every")
+        .agg(
+            F.count_distinct(eligible).alias("open"),
+            F.count_distinct("hit.place").alias("covered"),
+            F.max(F.col("hit.size") < WINDOW).alias("whole"),
+            F.max("changed").alias("reparameterised"),
+        )
     )
+    # An item that matched as one short window is covered; else the better share of eligible or of all windows counts.
+    both = F.greatest("every", F.lit(1).cast("long"))
+    share = F.when(F.col("n") > 0, F.col("open") / F.col("n")).otherwise(F.lit(0.0))
+    better = F.when(F.col("whole"), F.struct(both.alias("windows"), both.alias("covered"))).when(
+        share >= F.col("covered") / both, F.struct(F.col("n").alias("windows"), F.col("open").alias("covered"))
+    ).otherwise(F.struct(F.col("every").alias("windows"), F.col("covered")))
     return (
-        covered.withColumn("coverage", F.col("covered") / F.col("n"))
+        covered.select("doc", "item", "reparameterised", better.alias("b"))
+        .withColumn("coverage", F.col("b.covered") / F.col("b.windows"))
         .where(F.col("coverage") >= min_coverage)
         .select(
-            F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("n").alias("windows"),
-            "covered", "coverage", "reparameterised",
+            F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.windows", "b.covered", "coverage", "reparameterised"
         )
     )
 

@@ -45,6 +45,17 @@ def test_starts_with_two_values_are_words(spark):
     assert set(found) == {(0, 0), (1, 0)}
 
 
+SUM = "What is 12 + 7 - 4 + 9 - 30 + 18 - 5 + 11?"
+
+
+def test_items_without_literal_windows_match_as_they_are(spark):
+    items = [SUM, "Who painted the Mona Lisa?", "Anna has 3 red hats. Why?"]
+    texts = [f"Some text. {i} More text." for i in items] + [SUM.replace("30", "31").replace("12", "13"), "Ben has 4 red hats. Why?"]
+    found = leaks(spark, texts, items)
+    assert set(found) == {(0, 0), (1, 1), (2, 2), (4, 2)}
+    assert found[0, 0]["coverage"] == 1.0 and not found[0, 0]["reparameterised"] and found[4, 2]["reparameterised"]
+
+
 def test_short_items_and_shared_starts_are_no_leak(spark):
     assert leaks(spark, ["two words", ITEM[:45]], ["two words", ITEM]) == {}
 
