@@ -13,7 +13,8 @@
    Windows with fewer than ``LITERALS`` literal words match only word for word, with
    equal values; an item under ``WINDOW`` template words is one window.
 4. A document is contaminated by an item when the consistent windows cover at
-   least ``min_coverage`` of the item's windows with enough literal words, or of all.
+   least ``min_coverage`` of the item's windows with enough literal words, or of all,
+   or ``EXCERPT`` of its words in a row at one offset.
 
 Nothing of document size leaves the tasks; matched windows per (document, item,
 offset) are at most the item's length.
@@ -41,6 +42,7 @@ WINDOW = 8
 LITERALS = 4
 SHORTEST = 3
 MIN_COVERAGE = 0.5
+EXCERPT = 50
 CACHE = 100_000
 CHUNK = 1 << 19
 
@@ -334,6 +336,19 @@ def _accepted(matched: DataFrame) -> DataFrame:
     return offsets.select("doc", "item", "n", "every", "offset", F.array_union(*kept).alias("hits")).where("size(hits) > 0")
 
 
+def _longest(hits: Column) -> Column:
+    """The most words of the item in a row that lie in windows of ``hits``."""
+    state = lambda begin, last, best: F.struct(begin.alias("begin"), last.alias("last"), best.alias("best"))
+    far, nothing = F.lit(-2 * WINDOW).cast("long"), F.lit(0).cast("long")
+
+    def extend(so_far: Column, place: Column) -> Column:
+        begin = F.when(place - so_far["last"] <= WINDOW, so_far["begin"]).otherwise(place)
+        return state(begin, place, F.greatest(so_far["best"], place + F.lit(WINDOW).cast("long") - begin))
+
+    places = F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["place"])))
+    return F.aggregate(places, state(far, far, nothing), extend, lambda done: done["best"])
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -372,12 +387,13 @@ def find_leaks(
     changed = F.exists(_pairs(F.col("hits")), lambda p: p["theirs"] != p["own"])
     eligible = F.when(F.col("hit.eligible") == 1, F.col("hit.place"))
     covered = (
-        accepted.select("doc", "item", "n", "every", changed.alias("changed"), F.explode("hits").alias("hit"))
+        accepted.select("doc", "item", "n", "every", changed.alias("changed"), _longest(F.col("hits")).alias("run"), F.explode("hits").alias("hit"))
         .groupBy("doc", "item", "n", "every")
         .agg(
             F.count_distinct(eligible).alias("open"),
             F.count_distinct("hit.place").alias("covered"),
             F.max(F.col("hit.size") < WINDOW).alias("whole"),
+            F.max("run").alias("run"),
             F.max("changed").alias("reparameterised"),
         )
     )
@@ -388,9 +404,9 @@ def find_leaks(
         share >= F.col("covered") / both, F.struct(F.col("n").alias("windows"), F.col("open").alias("covered"))
     ).otherwise(F.struct(F.col("every").alias("windows"), F.col("covered")))
     return (
-        covered.select("doc", "item", "reparameterised", better.alias("b"))
+        covered.select("doc", "item", "reparameterised", "run", better.alias("b"))
         .withColumn("coverage", F.col("b.covered") / F.col("b.windows"))
-        .where(F.col("coverage") >= min_coverage)
+        .where((F.col("coverage") >= min_coverage) | (F.col("run") >= EXCERPT))
         .select(
             F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.windows", "b.covered", "coverage", "reparameterised"
         )

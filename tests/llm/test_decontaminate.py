@@ -56,6 +56,13 @@ def test_items_without_literal_windows_match_as_they_are(spark):
     assert found[0, 0]["coverage"] == 1.0 and not found[0, 0]["reparameterised"] and found[4, 2]["reparameterised"]
 
 
+def test_long_excerpts_of_long_items_are_leaks(spark):
+    words = [f"{a}{b}" for a in ("bar", "cor", "dul", "fen", "gim", "hol", "jas", "kel") for b in map(lambda i: "x" * i + "y" * (50 - i), range(50))]
+    passage = " ".join(words)
+    found = leaks(spark, [f"Some text. {' '.join(words[100:250])} ends.", " ".join(words[100:140])], [passage])
+    assert set(found) == {(0, 0)} and found[0, 0]["coverage"] < 0.5
+
+
 def test_short_items_and_shared_starts_are_no_leak(spark):
     assert leaks(spark, ["two words", ITEM[:45]], ["two words", ITEM]) == {}
 
