@@ -44,7 +44,7 @@ SHORTEST = 3
 MIN_COVERAGE = 0.5
 EXCERPT = 50
 CACHE = 100_000
-CHUNK = 1 << 19
+CHUNK = 1 << 21
 
 # Number words and units.
 NUMBER_WORDS = frozenset(
