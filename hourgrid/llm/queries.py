@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hourgrid.llm import (
+    bpe,
     decontaminate,
     exact_dedup,
     html_main,
@@ -20,6 +21,8 @@ from hourgrid.llm import (
     source_mix,
     toxicity_chain,
     url_filter,
+    vector_codes,
+    whitening,
 )
 from hourgrid.llm.frames import ship_code, table
 
@@ -98,6 +101,30 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256", "label")
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 OP9_SQL = r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -109,6 +136,46 @@ FROM n JOIN g ON n.t = g.t
 """
 
 
+def _op11_sql() -> str:
+    """The rounds one after the other; a part's nearest entry is the least of distance * 16 + entry."""
+    assigned = """
+a{r} AS MATERIALIZED (
+  SELECT rid, q.p, min(list_sum([(q.v[i] - c.v[i]) * (q.v[i] - c.v[i]) FOR i IN range(1, len(q.v) + 1)]) * 16 + c.k) AS m
+  FROM parts q JOIN c{r} c ON q.p = c.p GROUP BY rid, q.p
+)"""
+    moved = """
+s{r} AS (
+  SELECT q.p, CAST(a.m % 16 AS BIGINT) AS k, i, CAST(sum(q.v[i]) AS BIGINT) AS s, count(*) AS n
+  FROM a{r} a JOIN parts q ON a.rid = q.rid AND a.p = q.p, width, unnest(range(1, width.w + 1)) AS u(i) GROUP BY ALL
+), c{next} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT p, k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY p, k
+  ) m ON c.p = m.p AND c.k = m.k
+)"""
+    steps = [part.format(r=r, next=r + 1) for r in range(6) for part in (assigned, moved)] + [assigned.format(r=6)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), width AS MATERIALIZED (SELECT max(len(v)) // 8 AS w FROM kept
+), parts AS MATERIALIZED (
+  SELECT rid, p, v[p * w + 1 : p * w + w] AS v FROM kept, width, unnest(range(8)) AS u(p)
+), c0 AS MATERIALIZED (SELECT p, rid - 1 AS k, v FROM parts WHERE rid <= 16
+),{",".join(steps)}, books AS (
+  SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, k, i)) AS h
+  FROM (SELECT p, k, unnest(v) AS x, unnest(range(len(v))) AS i FROM c6)
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', CAST(m % 16 AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(m // 16) AS BIGINT) AS error
+  FROM a6 GROUP BY rid
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  h AS codebooks_sha256, label
+FROM kept JOIN coded USING (rid), books
+"""
+
+
 def _with_code(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +197,14 @@ def queries() -> dict[str, Query]:
         op8_toxicity_chain,
         op9_exact_dedup,
         op10_decontaminate,
+        op11_vector_codes,
+        op12_bpe,
+        op13_whitening,
     )
     return {q.__name__: _with_code(q) for q in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL} | (
+    return {"op9_exact_dedup": OP9_SQL, "op11_vector_codes": _op11_sql()} | (
         {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     )
