@@ -1,45 +1,77 @@
-"""A fixed-size filter of 64-bit keys, built in tasks and sent to every task.
+"""A filter of 64-bit keys, built in tasks and sent to every task.
 
-Its size does not depend on the number of keys: with too many keys more rows
-pass, and the exact join behind it still decides.
+Its size follows the number of keys up to ``MOST_BITS``; with more keys than that more
+rows pass, and the exact join behind it still decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-BITS = 1 << 23
-PARTS = 8
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+BITS_PER_KEY = 24
+GOLDEN = 0x9E3779B97F4A7C15
+# Set bits travel in words of this many.
+WORD = 32
 
 
-def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(41)).astype(np.int64), ((mixed >> np.uint64(9)) & np.uint64(BITS - 1)).astype(np.int64)
+def size_for(keys: int) -> int:
+    """The bits of a filter: a power of two within the bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (keys * BITS_PER_KEY - 1).bit_length()))
+
+
+def _places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mixed = keys.view(np.uint64) * np.uint64(GOLDEN)
+    last = np.uint64(bits - 1)
+    return ((mixed >> np.uint64(32)) & last).astype(np.int64), ((mixed ^ (mixed >> np.uint64(41))) & last).astype(np.int64)
 
 
 def build(keys: DataFrame, column: str) -> np.ndarray:
-    """The filter over all values of a long column: at most ``PARTS`` bit sets reach the driver."""
+    """The filter over all values of a long column.
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(BITS, bool)
+    Set bits are gathered into words by an aggregate that each task starts on its own; what reaches
+    the driver is the filter, ``MOST_BITS`` at most.
+    """
+    wanted = keys.select(F.col(column).alias("k")).where("k IS NOT NULL")
+    bits = size_for(wanted.agg(F.approx_count_distinct("k")).first()[0])
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for places in _places(batch[column].to_numpy(np.int64)):
-                bits[places] = True
-        yield pd.DataFrame({"bits": [np.packbits(bits).tobytes()]})
-
-    parts = keys.select(column).coalesce(PARTS).mapInPandas(fill, "bits binary").collect()
-    total = np.zeros(BITS // 8, np.uint8)
-    for (part,) in parts:
-        total |= np.frombuffer(part, np.uint8)
+            values = np.unique(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            places = np.unique(np.concatenate(_places(values, bits)))
+            word, first = np.unique(places // WORD, return_index=True)
+            marks = np.bitwise_or.reduceat(np.int64(1) << (places % WORD), first) if len(places) else places
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(marks)], ["word", "marks"])
+
+    found = wanted.mapInArrow(words, "word long, marks long").groupBy("word").agg(F.bit_or("marks").alias("marks"))
+    total = np.zeros(bits // WORD, "<u4")
+    for batch in found.toArrow().to_batches():
+        total[batch.column(0).to_numpy()] = batch.column(1).to_numpy().astype(np.uint32)
+    return total.view(np.uint8)
+
+
+def of_keys(keys: Iterable[int]) -> np.ndarray:
+    """The filter of a few keys at hand."""
+    values = np.array(list(keys), np.int64)
+    bits = size_for(len(values))
+    total = np.zeros(bits // 8, np.uint8)
+    for places in _places(values, bits):
+        np.bitwise_or.at(total, places >> 3, np.uint8(1) << (places & 7).astype(np.uint8))
     return total
 
 
 def contains(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     found = np.ones(len(keys), bool)
-    for places in _places(keys):
-        found &= (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 == 1
+    for places in _places(keys, len(bits) * 8):
+        found &= (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
     return found
+
+
+def contains_one(bits: np.ndarray, key: int) -> bool:
+    """``contains`` for one key, given as a number without a sign."""
+    mixed, last = key * GOLDEN & 0xFFFF_FFFF_FFFF_FFFF, len(bits) * 8 - 1
+    return all(bits[p >> 3] >> (p & 7) & 1 for p in (mixed >> 32 & last, (mixed ^ mixed >> 41) & last))

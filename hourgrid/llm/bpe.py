@@ -14,10 +14,10 @@ in a bounded table of each Python worker.
 from __future__ import annotations
 
 import heapq
-import itertools
 import json
 import os
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -82,12 +82,13 @@ def _words(pattern: regex.Pattern, text: str) -> list[str]:
     return [text[m.start() : m.end()] for m in pattern.finditer(plain)]
 
 
-def _normalizer(spec: dict | None) -> Callable[[str], str]:
+def _normalizer(spec: dict | None) -> Callable[[str], str] | None:
+    """What the file's normalizer does to a chunk without white space; None if nothing."""
     if spec is None:
-        return lambda text: text
+        return None
     kind = spec["type"]
     if kind == "Sequence":
-        steps = [_normalizer(s) for s in spec["normalizers"]]
+        steps = [step for s in spec["normalizers"] if (step := _normalizer(s))]
 
         def all_steps(text: str) -> str:
             for step in steps:
@@ -99,6 +100,8 @@ def _normalizer(spec: dict | None) -> Callable[[str], str]:
         return lambda text: unicodedata.normalize(kind, text)
     if kind == "Lowercase":
         return _lower
+    if kind == "Replace" and spec["pattern"] == {"Regex": r"\s+"} and spec["content"].isspace():
+        return None  # a chunk holds no white space
     if kind == "Replace" and "Regex" in spec["pattern"]:
         pattern = regex.compile(spec["pattern"]["Regex"])
         return lambda text: pattern.sub(spec["content"].replace("\\", r"\\"), text)
@@ -123,10 +126,10 @@ def _word_pattern(spec: dict) -> regex.Pattern:
 class _Known(dict):
     """Results of a function, kept for up to ``WORDS`` short arguments."""
 
-    def __init__(self, function: Callable[[str], list[int]]) -> None:
+    def __init__(self, function: Callable[[str], list[int] | bytes]) -> None:
         self.function = function
 
-    def __missing__(self, key: str) -> list[int]:
+    def __missing__(self, key: str) -> list[int] | bytes:
         found = self.function(key)
         if len(key) <= LONGEST_KEPT:
             if len(self) >= WORDS:
@@ -157,7 +160,7 @@ class Vocabulary:
             raise ValueError("added tokens with options are not supported")
         self.special = special
         self.strings = {i: s for s, i in (self.ids | special).items()}
-        self.normalize = _normalizer(spec.get("normalizer"))
+        self.normalize = _normalizer(spec.get("normalizer")) or str
         self.words = _word_pattern(spec["pre_tokenizer"])
         longest = sorted(special, key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(map(regex.escape, longest))})")
@@ -165,9 +168,9 @@ class Vocabulary:
         self.first = [self.ids.get(s) for s in symbols]
         self.last = [self.ids.get(s + self.end) for s in symbols]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(pairs):
-            self.merges[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
+        # By rank: left, right and merged id. A pair of ids is looked up as one number.
+        self.by_rank = [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in pairs]
+        self.ranks = {left << 32 | right: rank for rank, (left, right, _) in enumerate(self.by_rank)}
         self.known_words, self.known_chunks = _Known(self.encode_word), _Known(self.encode_chunk)
 
     def encode_word(self, word: str) -> list[int]:
@@ -176,45 +179,47 @@ class Vocabulary:
         ids = [i for b in raw[:-1] if (i := self.first[b]) is not None]
         if (i := self.last[raw[-1]]) is not None:
             ids.append(i)
-        count, merges = len(ids), self.merges
+        count, ranks, by_rank = len(ids), self.ranks, self.by_rank
         if count < 2:
             return ids
         before, after = list(range(-1, count - 1)), [*range(1, count), -1]
-        queue = [
-            (found[0], at, pair, found[1]) for at, pair in enumerate(zip(ids, ids[1:])) if (found := merges.get(pair))
-        ]
+        # A queue entry is a rank and the place of the left symbol; which symbols were meant follows from the rank.
+        queue = [r << 32 | at for at in range(count - 1) if (r := ranks.get(ids[at] << 32 | ids[at + 1])) is not None]
         heapq.heapify(queue)
         while queue:
-            _, at, pair, made = heapq.heappop(queue)
-            right = after[at]
-            if right < 0 or (ids[at], ids[right]) != pair:
+            entry = heapq.heappop(queue)
+            at = entry & 0xFFFF_FFFF
+            left, right, made = by_rank[entry >> 32]
+            next_ = after[at]
+            if ids[at] != left or next_ < 0 or ids[next_] != right:
                 continue  # stale: one of the two has been merged since
-            ids[at], ids[right] = made, -1
-            after[at] = far = after[right]
+            ids[at], ids[next_] = made, -1
+            after[at] = far = after[next_]
             if far >= 0:
                 before[far] = at
+                if (r := ranks.get(made << 32 | ids[far])) is not None:
+                    heapq.heappush(queue, r << 32 | at)
             near = before[at]
-            for left, other in ((near, at), (at, far)):
-                if left >= 0 and other >= 0 and (found := merges.get((ids[left], ids[other]))):
-                    heapq.heappush(queue, (found[0], left, (ids[left], ids[other]), found[1]))
+            if near >= 0 and (r := ranks.get(ids[near] << 32 | made)) is not None:
+                heapq.heappush(queue, r << 32 | near)
         return [i for i in ids if i >= 0]
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        """The ids of a text between white space."""
-        return [i for word in _words(self.words, self.normalize(chunk)) for i in self.known_words[word]]
+    def encode_chunk(self, chunk: str) -> bytes:
+        """The ids of a text between white space, four bytes each."""
+        return array("i", [i for word in _words(self.words, self.normalize(chunk)) for i in self.known_words[word]]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text; special strings in it are their own ids."""
         pieces = self.cut.split(text) if any(s in text for s in self.special) else [text]
-        found: list = []
+        found: list[bytes] = []
         for piece in pieces:
             if piece in self.special:
-                found.append((self.special[piece],))
+                found.append(array("i", [self.special[piece]]).tobytes())
             else:
                 # Words hold no white space and no normalisation reaches over it, so each chunk is taken by itself.
                 chunks = piece.split() if not _SEPARATORS.search(piece) else _SPACE.split(piece)
                 found.extend(map(self.known_chunks.__getitem__, chunks))
-        return np.fromiter(itertools.chain.from_iterable(found), np.int32)
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The strings of known ids, a space between two; ids without a string are left out."""

@@ -71,12 +71,13 @@ def merged_in_turns(own, word):
     """One merge after the other, the lowest rank first, without a queue."""
     raw = word.encode()
     ids = [own.first[b] for b in raw[:-1]] + [own.last[raw[-1]]]
+    ranks = {(left, right): (rank, made) for rank, (left, right, made) in enumerate(own.by_rank)}
     while True:
-        ranked = [(own.merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in own.merges]
+        ranked = [(ranks[p], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in ranks]
         if not ranked:
             return ids
-        _, i = min(ranked)
-        ids[i : i + 2] = [own.merges[ids[i], ids[i + 1]][1]]
+        (_, made), i = min(ranked)
+        ids[i : i + 2] = [made]
 
 
 @settings(max_examples=200, deadline=None)

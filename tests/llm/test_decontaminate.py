@@ -80,8 +80,77 @@ def test_given_documents_equal_substring_search(spark, sf_dir):
 
 @pytest.mark.parametrize("text", ["", "word", "1 2 3", "A. B. C.", "John Smith Mary Ann Jones went"])
 def test_windows_of_any_text(text):
-    starts, hashes, slot, values = decontaminate.windows(text)
-    assert len(starts) == len(hashes) and len(slot) == len(values)
+    starts, hashes, slot, values, prefixes = decontaminate.windows(text)
+    assert len(starts) == len(hashes) == len(prefixes) and len(slot) == len(values)
+
+
+def plain_windows(text):
+    """All readings of the windows of eight words, one word after the other."""
+    t = decontaminate.template(text)
+    found = set()
+
+    def read(at, left, words, values, slots):
+        if slots > decontaminate.WINDOW - decontaminate.LITERALS:
+            return
+        if not left:
+            found.add((begin, tuple(words), tuple(values)))
+            return
+        if at >= len(t.hashed):
+            return
+        read(at + 1, left - 1, [*words, int(t.hashed[at])], [*values, int(t.values[at])], slots + bool(t.slot[at]))
+        if t.soft[at]:
+            value, end = int(t.values[at]), at + 1
+            if end < len(t.hashed) and t.joined[end]:
+                value, end = (value + int(t.values[end]) * int(decontaminate._GOLDEN)) % 2**64, end + 1
+            name = int(decontaminate._PLACEHOLDER[decontaminate._CAPITAL])
+            read(end, left - 1, [*words, name], [*values, value], slots + 1)
+
+    for begin in range(len(t.hashed)):
+        read(begin, decontaminate.WINDOW, [], [], 0)
+    return found
+
+
+@pytest.mark.parametrize("text", [APPLES, SAME, MIXED, APPLES.replace("Sam", "Sam Smith Jones"), "A b. C d. E f. G h. I j. K l. M n."])
+def test_windows_are_all_readings(text):
+    starts, _, _, values, _ = decontaminate.windows(text)
+    want = plain_windows(text)
+    kept = [(s[1], tuple(v)) for s, v in zip(starts.tolist(), values.tolist(), strict=True)]
+    few = len(kept) - len(want)
+    assert sorted((b, v) for b, _, v in want) == sorted(kept[few:])
+
+
+def test_the_filter_drops_no_match():
+    """With the filter of an item, exactly the windows that the item has are left."""
+    from hourgrid.llm import bloom
+
+    for item in (ITEM, APPLES, SUM):
+        words = decontaminate.template(item)
+        _, hashes, _, _, prefixes = decontaminate.windows(item)
+        bits = bloom.of_keys([*hashes.tolist(), *prefixes.ravel().tolist(), *words.hashed[~words.slot].view("int64").tolist()])
+        for text in (item, SAME, MIXED, APPLES.replace("Sam", "Mary Ann"), f"Then. {item} And more of it."):
+            every = decontaminate.windows(text)
+            some = decontaminate.windows(text, bits=bits)
+            want = sorted((*s, h) for s, h in zip(every[0][:, 1:3].tolist(), every[1].tolist(), strict=True) if h in set(hashes.tolist()))
+            assert sorted((*s, h) for s, h in zip(some[0][:, 1:3].tolist(), some[1].tolist(), strict=True)) == want
+
+
+def test_a_name_inside_a_sentence_matches_one_at_its_start(spark):
+    item = "Every Monday Lena Smith sells 12 jars of honey and 7 loaves of dark bread at the market by the old mill."
+    text = "Peter sells 30 jars of honey and 9 loaves of dark bread at the market by the old mill."
+    found = leaks(spark, [text], [item])
+    assert set(found) == {(0, 0)} and found[0, 0]["reparameterised"]
+
+
+def test_ids_of_any_type_and_shared_ids(spark):
+    docs = spark.createDataFrame([("a", ITEM), ("a", "clean text"), ("b", MIXED), (None, SAME), ("c", None)], "doc_id string, text string")
+    bench = spark.createDataFrame([("x", ITEM), (None, APPLES)], "item_id string, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert found == {("a", "x"), (None, "x")}
+
+
+def test_long_items_repeated_many_times(spark):
+    found = leaks(spark, [" ".join([SAME] * 300)], [ITEM, APPLES])
+    assert set(found) == {(0, 0)}
 
 
 def test_awkward_rows_and_empty_tables(spark):
