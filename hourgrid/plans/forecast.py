@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from collections.abc import Sequence
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +13,11 @@ from pyspark.sql import functions as F
 from hourgrid import schemas
 from hourgrid.functions import clock
 from hourgrid.functions.measures import clip
-from hourgrid.models.boosting import PoissonBoosting
+from hourgrid.models.boosting import PoissonBoosting, PoissonBoostingModel
 from hourgrid.operators import scoring
 from hourgrid.operators.series import LAG_HOURS, ROLL_HOURS
 from hourgrid.schemas import BOOSTING_FEATURES, TARGET
-from hourgrid.session import cut_lineage
+from hourgrid.session import cut_lineage, path_exists
 from hourgrid.tables.store import analyze_partitions, create_table, upsert
 
 # Fixed value: hours of history a forecast starts from.
@@ -29,6 +31,27 @@ class Model(Protocol):
     def transform(self, df: DataFrame) -> DataFrame: ...
 
 
+def stored_model(
+    rows: DataFrame, booster: PoissonBoosting, folder: str, features: Sequence[str] = BOOSTING_FEATURES
+) -> PoissonBoostingModel:
+    """The model of these training rows and settings: read from ``folder`` if it is there, else fitted and stored.
+
+    Rows are told apart by a fingerprint of all of them, one aggregate. The folder has to be one
+    that all executors share.
+    """
+    spark = rows.sparkSession
+    own = F.xxhash64(*[F.col(c) for c in [*features, TARGET]])
+    # The second sum keeps rows that cancel out in the first one apart.
+    print_ = rows.agg(F.count(F.lit(1)), F.bit_xor(own), F.sum(F.pmod(own, F.lit(2_147_483_647)))).first()
+    text = "|".join([booster.named(), *features, *map(str, print_)])
+    path = f"{folder}/{hashlib.sha256(text.encode()).hexdigest()}"
+    if path_exists(spark, f"{path}/settings/_SUCCESS"):
+        return PoissonBoostingModel.load(spark, path)
+    model = booster.fit(rows, features)
+    model.save(spark, path)
+    return model
+
+
 def latest_train_end(features: DataFrame) -> dt.datetime:
     """The hour after the newest feature row. Runs one aggregate."""
     newest = features.agg(F.max("hour_start")).first()[0]
@@ -120,9 +143,13 @@ def replay_forecast(
     horizon_hours: int = 24,
     booster: PoissonBoosting = PoissonBoosting(),
     clip_at_zero: bool = False,
+    models: str | None = None,
 ) -> DataFrame:
-    """Train before ``train_end``, score the complete feature rows of the horizon."""
-    model = booster.fit(scoring.before(features, train_end))
+    """Train before ``train_end``, score the complete feature rows of the horizon.
+
+    With ``models``, a shared folder, a model stored there for the same rows and settings is used again.
+    """
+    model = _model(features, train_end, booster, models)
     rows = scoring.drop_nulls(scoring.within_horizon(features, train_end, horizon_hours), BOOSTING_FEATURES)
     yhat = F.col("yhat")
     return model.transform(rows).select(
@@ -130,6 +157,11 @@ def replay_forecast(
     )
 
 
+def _model(features: DataFrame, train_end: dt.datetime | str, booster: PoissonBoosting, models: str | None) -> PoissonBoostingModel:
+    rows = scoring.before(features, train_end)
+    return stored_model(rows, booster, models) if models else booster.fit(rows)
+
+
 def clock_day(train_end: dt.datetime | str) -> str:
     """The calendar day of ``train_end`` as given, a partition of the predictions table."""
     return dt.datetime.fromisoformat(str(train_end)).date().isoformat()
@@ -185,6 +217,7 @@ def run_recursive(
     horizon_hours: int = 24,
     booster: PoissonBoosting = PoissonBoosting(),
     model_name: str = RECURSIVE_MODEL,
+    models: str | None = None,
 ) -> dt.datetime | None:
     """Train, forecast and store; the run's timestamp, or None when already stored."""
     features = spark.table(features_table)
@@ -193,7 +226,7 @@ def run_recursive(
     if already_forecast(spark.table(predictions_table), model_name, train_end, horizon_hours):
         return None
     run_ts = dt.datetime.now(dt.timezone.utc)
-    model = booster.fit(scoring.before(features, train_end))
+    model = _model(features, train_end, booster, models)
     scoring.require_rows(scoring.within_history(features, train_end), "no history before train_end")
     forecast = recursive_forecast(features, model, train_end, horizon_hours)
     write_predictions(
@@ -213,6 +246,7 @@ def run_replay(
     horizon_hours: int = 24,
     booster: PoissonBoosting = PoissonBoosting(),
     model_name: str = REPLAY_MODEL,
+    models: str | None = None,
 ) -> dt.datetime:
     run_ts = dt.datetime.now(dt.timezone.utc)
     features = spark.table(features_table)
@@ -220,7 +254,7 @@ def run_replay(
         scoring.drop_nulls(scoring.within_horizon(features, train_end, horizon_hours), BOOSTING_FEATURES),
         "no complete feature rows in the forecast window",
     )
-    forecast = replay_forecast(features, train_end, horizon_hours, booster)
+    forecast = replay_forecast(features, train_end, horizon_hours, booster, models=models)
     write_predictions(
         as_predictions(forecast, run_ts, model_name, train_end, None),
         predictions_table,

@@ -18,9 +18,8 @@ from hourgrid.queries import inputs
 from hourgrid.queries.inputs import SPLIT, TRAIN_END, rounded, with_features
 from hourgrid.queries.registry import query
 from hourgrid.schemas import BOOSTING_FEATURES, GLM_NUMERIC_FEATURES, TARGET
+from hourgrid.session import shared_folder
 
-# Fewer rounds than the default 300: enough to beat the mean, short to check.
-SHORT_BOOSTING = PoissonBoosting(iterations=12, learning_rate=0.2)
 HISTORY_SQL = f""",
 history AS (
   SELECT pu_location, list(CAST(trip_count AS DOUBLE) ORDER BY hour_start) AS buf
@@ -151,23 +150,28 @@ def _serving_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.cut_lineage(demand_features(filled, include_current=False))
 
 
+def _models(spark: SparkSession) -> str:
+    """Models of this session: queries of the same training rows share one fit."""
+    return f"{shared_folder(spark)}/models/{spark.sparkContext.applicationId}"
+
+
 @query("recursive_forecast_boosted")
 def recursive_forecast_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _serving_features(spark, sf_dir)
-    model = SHORT_BOOSTING.fit(scoring.before(rows, TRAIN_END))
+    model = forecast.stored_model(scoring.before(rows, TRAIN_END), PoissonBoosting(), _models(spark))
     return forecast.recursive_forecast(rows, model, TRAIN_END, 24)
 
 
 @query("replay_forecast_boosted")
 def replay_forecast_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.replay_forecast(_serving_features(spark, sf_dir), TRAIN_END, 24, SHORT_BOOSTING)
+    return forecast.replay_forecast(_serving_features(spark, sf_dir), TRAIN_END, 24, models=_models(spark))
 
 
 @query("boosting_comparison")
 def boosting_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted model and baseline on the rows after the split."""
     rows = _serving_features(spark, sf_dir)
-    model = SHORT_BOOSTING.fit(scoring.before(rows, SPLIT))
+    model = forecast.stored_model(scoring.before(rows, SPLIT), PoissonBoosting(), _models(spark))
     valid = scoring.drop_nulls(scoring.from_hour(rows, SPLIT), [*BOOSTING_FEATURES, TARGET])
     return scoring.model_comparison(model.transform(valid), {"lag_24h": "lag_24h", "poisson_boosting": "yhat"})
 
@@ -188,4 +192,4 @@ def poisson_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("glm_coefficients")
 def glm_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, model = _fitted_glm(spark, sf_dir)
-    return model.coefficients(spark)
+    return model.coefficients()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -50,6 +52,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, through Spark's file server."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="hourgrid-code-"), "hourgrid")
+        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(context.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the checkpoint folder and continue from there.
 
@@ -58,8 +78,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     column pruning and known sizes for whatever is planned next.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/frames/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/frames/{uuid.uuid4().hex}"
     if not _stages:
         atexit.register(_release_all, spark)
     df.write.parquet(path)
@@ -77,24 +96,29 @@ def release(*staged: DataFrame) -> None:
     for df in staged:
         path = _stages.pop(df.stage_path, None)
         if path:
-            _delete(df.sparkSession, path)
+            delete_folder(df.sparkSession, path)
 
 
 def stage_folders() -> list[str]:
     return list(_stages)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def _release_all(spark: SparkSession) -> None:
     """At the end of the process, whatever a returned frame may have read until then."""
     if spark.sparkContext._jsc is None:
         return  # stopped: the cluster's cleaner of the checkpoint folder has to see to them
     for path in list(_stages):
-        _delete(spark, _stages.pop(path))
+        delete_folder(spark, _stages.pop(path))
 
 
 @contextmanager

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourgrid import schemas
+from hourgrid.models import boosting
 from hourgrid.models.baselines import ExpressionModel
-from hourgrid.models.boosting import PoissonBoosting
+from hourgrid.models.boosting import PoissonBoosting, PoissonBoostingModel
 from hourgrid.models.glm import fit_one_hot, fit_poisson_glm
 from hourgrid.operators import scoring
 from hourgrid.operators.series import demand_features
@@ -130,6 +131,96 @@ def test_boosting_stops_early_on_held_out_rows(spark):
     assert model.n_trees < 60 and len(model.held_out_loss) == model.n_trees
 
 
+def plain_tree(x, gradient, curvature, leaves, depth, min_leaf, l2):
+    """Splits the leaf with most gain until there are enough leaves; returns {leaf path: (rows, step)}."""
+
+    def best(rows):
+        found = None
+        g, h = gradient[rows], curvature[rows]
+        for f in range(x.shape[1]):
+            for cut in np.unique(x[rows, f])[:-1]:
+                low = x[rows, f] <= cut
+                if min(low.sum(), (~low).sum()) < min_leaf:
+                    continue
+                parts = [(g[s].sum(), h[s].sum()) for s in (low, ~low)]
+                gain = sum(a * a / (b + l2) for a, b in parts) - g.sum() ** 2 / (h.sum() + l2)
+                if gain > 0 and (found is None or gain > found[0] + 1e-9):
+                    found = (gain, f, cut)
+        return found
+
+    open_leaves = {"": (np.arange(len(x)), best(np.arange(len(x))))}
+    while len(open_leaves) < leaves:
+        able = [(split[0], path) for path, (_, split) in open_leaves.items() if split and len(path) < depth]
+        if not able:
+            break
+        _, path = max(able)
+        rows, (_, f, cut) = open_leaves.pop(path)
+        low = x[rows, f] <= cut
+        for turn, part in (("l", rows[low]), ("r", rows[~low])):
+            open_leaves[path + turn] = (part, best(part))
+    return {p: (rows, -gradient[rows].sum() / (curvature[rows].sum() + l2)) for p, (rows, _) in open_leaves.items()}
+
+
+@pytest.mark.parametrize("small", [1 << 17, 700, 0])
+@pytest.mark.parametrize("leaves, depth", [(6, 8), (20, 4), (2, 8)])
+def test_boosting_equals_a_plain_learner(spark, monkeypatch, leaves, depth, small):
+    """Round after round the same leaves, and so the same forecasts, wherever the leaves are grown."""
+    monkeypatch.setattr(boosting, "SMALL", small)
+    rows = count_rows(spark, 2000, seed=leaves)
+    data = rows.toPandas()
+    rounds, rate, min_leaf, l2 = 4, 0.3, 25, 1e-4
+    # One decimal of b: few enough values for a bin of its own each.
+    rows = rows.withColumn("b", F.round("b", 1))
+    x = np.column_stack([data.a, np.round(data.b, 1), data.pu_location]).astype(float)
+    y = data.trip_count.to_numpy(float)
+    score = np.full(len(y), math.log(y.mean()))
+    for _ in range(rounds):
+        mean = np.exp(score)
+        for part, step in plain_tree(x, mean - y, mean, leaves, depth, min_leaf, l2).values():
+            score[part] += rate * step
+    model = PoissonBoosting(
+        iterations=rounds, learning_rate=rate, max_leaves=leaves, max_depth=depth, min_leaf=min_leaf, l2=l2, checkpoint_every=3
+    ).fit(rows, ["a", "b", "pu_location"])
+    got = {(r.a, r.b, r.pu_location): r.yhat for r in model.transform(rows).collect()}
+    want = {(int(a), float(b), int(z)): math.exp(s) for (a, b, z), s in zip(x.tolist(), score, strict=True)}
+    assert got == pytest.approx(want, rel=1e-9)
+    assert model.train_loss[-1] == pytest.approx(float(np.mean(np.exp(score) - y * score)), rel=1e-9)
+
+
+def test_trees_keep_to_leaves_depth_and_rows(spark):
+    rows = count_rows(spark, 3000, seed=8)
+    fitted = PoissonBoosting(iterations=3, max_leaves=9, max_depth=4, min_leaf=100).fit(rows, ["a", "b", "pu_location"])
+    for tree in fitted.ensemble.trees:
+        assert tree.numNodes <= 2 * 9 - 1 and tree.depth <= 4
+    wide = PoissonBoosting(iterations=1, max_leaves=63, max_depth=8, min_leaf=1, max_bins=16).fit(rows, ["b"])
+    assert 16 <= wide.ensemble.trees[0].numNodes <= 31  # quantile bins: at most sixteen leaves
+
+
+def test_stored_models_give_equal_forecasts(spark, tmp_path):
+    rows = count_rows(spark, 1000)
+    model = PoissonBoosting(iterations=5, max_depth=3).fit(rows, ["a", "b", "pu_location"])
+    model.save(spark, str(tmp_path / "m"))
+    model.save(spark, str(tmp_path / "m"))
+    again = PoissonBoostingModel.load(spark, str(tmp_path / "m"))
+    one, two = ([r.yhat for r in m.transform(rows).orderBy("a", "b", "pu_location").collect()] for m in (model, again))
+    assert one == two and again.train_loss == model.train_loss and again.n_trees == 5
+
+
+def test_one_fit_serves_equal_rows_and_settings(spark, tmp_path, monkeypatch):
+    rows = count_rows(spark, 500)
+    fits = []
+    whole_fit = PoissonBoosting.fit
+    monkeypatch.setattr(PoissonBoosting, "fit", lambda self, *a: fits.append(1) or whole_fit(self, *a))
+    folder, features = str(tmp_path / "models"), ["a", "b", "pu_location"]
+    booster = PoissonBoosting(iterations=2, max_depth=2)
+    first = forecast.stored_model(rows, booster, folder, features)
+    second = forecast.stored_model(rows.repartition(3), booster, folder, features)
+    assert len(fits) == 1 and first.train_loss == second.train_loss
+    forecast.stored_model(rows.where("a > 2"), booster, folder, features)
+    forecast.stored_model(rows, PoissonBoosting(iterations=3, max_depth=2), folder, features)
+    assert len(fits) == 3
+
+
 def test_boosting_of_zeros_is_constant(spark):
     rows = spark.createDataFrame([(float(i), 0) for i in range(100)], "a double, trip_count int")
     assert {r.yhat for r in PoissonBoosting().fit(rows, ["a"]).transform(rows).collect()} == {0.0}
@@ -267,3 +358,67 @@ def test_strict_history_adds_up_repeated_hours(spark):
     rows = spark.createDataFrame([(hour, 1, 2), (hour, 1, 3)], "hour_start timestamp_ntz, pu_location int, trip_count int")
     buf = forecast.history_buffers(rows, dt.datetime(2025, 1, 25), strict_hours=True).first()["buf"]
     assert buf[-1] == 5.0 and sum(buf) == 5.0
+
+
+def test_glm_of_many_zones_has_no_limit(spark):
+    zones = 10_000
+    rows = spark.range(40_000).select(
+        (F.col("id") % zones).cast("int").alias("pu_location"),
+        (F.col("id") % 7).cast("double").alias("a"),
+        F.pmod(F.xxhash64("id"), F.lit(9)).cast("int").alias("trip_count"),
+    )
+    model = fit_poisson_glm(rows, numeric=["a"], alpha=0.01)
+    table = model.coefficients()
+    assert table.count() == zones
+    with pytest.raises(ValueError, match="DataFrame"):
+        model.regression.coefficients  # noqa: B018
+    # At the optimum the residuals of a zone balance its penalty.
+    scored = model.transform(rows)
+    n = rows.count()
+    balance = scored.groupBy("pu_location").agg(F.sum(F.col("yhat") - F.col("trip_count")).alias("g")).join(model.regression.effects, "pu_location")
+    worst = balance.where("pu_location > 0").agg(F.max(F.abs(F.col("g") / n + 0.01 * F.col("effect")))).first()[0]
+    assert worst < 1e-9
+    total = scored.agg(F.sum(F.col("yhat") - F.col("trip_count"))).first()[0]
+    assert abs(total / n) < 1e-9
+
+
+def test_glm_equals_sparks_regression_on_fifty_zones(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
+    rng = np.random.default_rng(9)
+    zone, a = rng.integers(1, 51, 5000), rng.normal(size=5000)
+    y = rng.poisson(np.exp(0.3 * a + 0.02 * zone))
+    rows = spark.createDataFrame(
+        [(float(x), int(z), int(c)) for x, z, c in zip(a, zone, y, strict=True)], "a double, pu_location int, trip_count int"
+    )
+    alpha = 0.02
+    mean = rows.agg(F.avg("trip_count")).first()[0]
+    ready = VectorAssembler(inputCols=["a", "zone_vector"], outputCol="features").transform(fit_one_hot(rows).transform(rows))
+    spark_own = GeneralizedLinearRegression(
+        family="poisson", link="log", labelCol="trip_count", regParam=alpha / mean, maxIter=200, tol=1e-12
+    ).fit(ready)
+    model = fit_poisson_glm(rows, numeric=["a"], alpha=alpha)
+    assert model.regression.coefficients == pytest.approx(list(spark_own.coefficients), abs=1e-6)
+    assert model.regression.intercept == pytest.approx(spark_own.intercept, abs=1e-6)
+
+
+def test_one_hot_of_many_zones(spark):
+    frame = spark.range(20_000).select((F.col("id") * 3).cast("int").alias("pu_location"))
+    encoder = fit_one_hot(frame)
+    asked = spark.createDataFrame([(0,), (3,), (59_997,), (1,), (None,)], "pu_location int")
+    got = {r.pu_location: r.zone_vector for r in encoder.transform(asked).collect()}
+    assert all(v.size == 19_999 for v in got.values())
+    assert list(got[3].indices) == [0] and list(got[59_997].indices) == [19_998]
+    assert all(not len(got[z].indices) for z in (0, 1, None))
+
+
+def test_glm_edge_cases(spark):
+    one_zone = spark.createDataFrame([(float(i % 3), 4, i % 5) for i in range(50)], "a double, pu_location int, trip_count int")
+    model = fit_poisson_glm(one_zone, numeric=["a"])
+    assert {r.effect for r in model.regression.effects.collect()} == {0.0}
+    assert model.transform(one_zone.withColumn("yhat", F.lit("x"))).where("yhat > 0").count() == 50
+    zeros = one_zone.withColumn("trip_count", F.lit(0))
+    assert {r.yhat for r in fit_poisson_glm(zeros, numeric=["a"]).transform(zeros).collect()} == {0.0}
+    with pytest.raises(RuntimeError, match="no complete"):
+        fit_poisson_glm(one_zone.where("false"), numeric=["a"])
