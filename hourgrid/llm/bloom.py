@@ -6,7 +6,7 @@ rows pass, and the exact join behind it still decides.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +71,16 @@ def contains(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def contains_one(bits: np.ndarray, key: int) -> bool:
-    """``contains`` for one key, given as a number without a sign."""
-    mixed, last = key * GOLDEN & 0xFFFF_FFFF_FFFF_FFFF, len(bits) * 8 - 1
-    return all(bits[p >> 3] >> (p & 7) & 1 for p in (mixed >> 32 & last, (mixed ^ mixed >> 41) & last))
+def single(bits: np.ndarray) -> Callable[[int], bool]:
+    """``contains`` for one key at a time, given as a number without a sign."""
+    raw, last = bits.tobytes(), len(bits) * 8 - 1
+
+    def holds(key: int) -> bool:
+        mixed = key * GOLDEN & 0xFFFF_FFFF_FFFF_FFFF
+        place = mixed >> 32 & last
+        if not raw[place >> 3] >> (place & 7) & 1:
+            return False
+        place = (mixed ^ mixed >> 41) & last
+        return raw[place >> 3] >> (place & 7) & 1 == 1
+
+    return holds

@@ -13,6 +13,7 @@ in a bounded table of each Python worker.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import os
@@ -29,8 +30,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 LARGEST_FILE = 64 << 20
-WORDS = 400_000
-LONGEST_KEPT = 64
+# Words, and as many pieces between white space, whose ids a worker remembers: some 30 MB each.
+WORDS = 150_000
+LONGEST_KEPT = 48
 # Texts of a record batch that are encoded before a batch of results is handed on, in characters.
 CHUNK = 4 << 20
 
@@ -126,10 +128,10 @@ def _word_pattern(spec: dict) -> regex.Pattern:
 class _Known(dict):
     """Results of a function, kept for up to ``WORDS`` short arguments."""
 
-    def __init__(self, function: Callable[[str], list[int] | bytes]) -> None:
+    def __init__(self, function: Callable[[str], bytes]) -> None:
         self.function = function
 
-    def __missing__(self, key: str) -> list[int] | bytes:
+    def __missing__(self, key: str) -> bytes:
         found = self.function(key)
         if len(key) <= LONGEST_KEPT:
             if len(self) >= WORDS:
@@ -168,10 +170,22 @@ class Vocabulary:
         self.first = [self.ids.get(s) for s in symbols]
         self.last = [self.ids.get(s + self.end) for s in symbols]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        # By rank: left, right and merged id. A pair of ids is looked up as one number.
-        self.by_rank = [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in pairs]
-        self.ranks = {left << 32 | right: rank for rank, (left, right, _) in enumerate(self.by_rank)}
-        self.known_words, self.known_chunks = _Known(self.encode_word), _Known(self.encode_chunk)
+        self._pairs = [f"{a} {b}" for a, b in pairs]
+        self.known_words, self.known_chunks = _Known(self._word_bytes), _Known(self.encode_chunk)
+
+    @functools.cached_property
+    def by_rank(self) -> list[tuple[int, int, int]]:
+        """By rank: left, right and merged id."""
+        pairs = (p.split(" ") for p in self._pairs)
+        return [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in pairs]
+
+    @functools.cached_property
+    def ranks(self) -> dict[int, int]:
+        """The rank of a pair of ids, looked up as one number."""
+        return {left << 32 | right: rank for rank, (left, right, _) in enumerate(self.by_rank)}
+
+    def _word_bytes(self, word: str) -> bytes:
+        return array("i", self.encode_word(word)).tobytes()
 
     def encode_word(self, word: str) -> list[int]:
         """The ids of one word: merges by rank, leftmost first, over a doubly linked list of symbols."""
@@ -206,7 +220,7 @@ class Vocabulary:
 
     def encode_chunk(self, chunk: str) -> bytes:
         """The ids of a text between white space, four bytes each."""
-        return array("i", [i for word in _words(self.words, self.normalize(chunk)) for i in self.known_words[word]]).tobytes()
+        return b"".join(map(self.known_words.__getitem__, _words(self.words, self.normalize(chunk))))
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text; special strings in it are their own ids."""

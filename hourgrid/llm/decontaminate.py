@@ -69,37 +69,53 @@ _FACTOR = np.uint64(0x100000001B3)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Codes(dict):
-    """Text between blanks → the codes of its tokens, eight bytes each.
+class _Bounded(dict):
+    """Kept results for up to ``CACHE`` short keys."""
+
+    def keep(self, key: str, value: bytes) -> bytes:
+        if len(key) <= LONGEST_KEPT:
+            if len(self) >= CACHE:
+                self.clear()
+            self[key] = value
+        return value
+
+
+class _Tokens(_Bounded):
+    """Token → its code, eight bytes.
 
     A code is the hash of the lower-cased token without its last 4 bits, a bit for
     words that the benchmark lacks, as ``bits`` says, and the kind.
     """
 
-    def __init__(self, bits: np.ndarray | None = None) -> None:
-        self.bits = bits
-
-    def __missing__(self, chunk: str) -> bytes:
-        codes = b"".join(self.code(token).to_bytes(8, "little") for token in _TOKEN.findall(chunk))
-        if len(chunk) <= LONGEST_KEPT:
-            if len(self) >= CACHE:
-                self.clear()
-            self[chunk] = codes
-        return codes
+    def __init__(self, bits: np.ndarray | None) -> None:
+        self.holds = bloom.single(bits) if bits is not None else None
 
-    def code(self, token: str) -> int:
-        low = token.lower()
-        if token in ".!?\n:":
+    def __missing__(self, token: str) -> bytes:
+        low, first = token.lower(), token[0]
+        if first in ".!?\n:":
             kind = _MARK
-        elif token[0].isdigit() or low in NUMBER_WORDS:
+        elif first.isdigit() or low in NUMBER_WORDS:
             kind = _NUMBER
         elif low in UNITS:
             kind = _UNIT
         else:
-            kind = _CAPITAL if token[0].isupper() else _LOWER
+            kind = _CAPITAL if first.isupper() else _LOWER
         code = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) & ~15
-        strange = self.bits is not None and not bloom.contains_one(self.bits, code)
-        return code | (_STRANGE if strange else 0) | kind
+        if self.holds is not None and not self.holds(code):
+            code |= _STRANGE
+        return self.keep(token, (code | kind).to_bytes(8, "little"))
+
+
+class _Codes(_Bounded):
+    """Text between blanks → the codes of its tokens."""
+
+    def __init__(self, bits: np.ndarray | None = None) -> None:
+        self.bits, self.tokens = bits, _Tokens(bits)
+
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self.keep(chunk, self.tokens[chunk])
+        return self.keep(chunk, b"".join(map(self.tokens.__getitem__, _TOKEN.findall(chunk))))
 
     def of_text(self, text: str) -> bytes:
         """A text begins like a line; no token holds a blank."""
