@@ -1,10 +1,13 @@
 """Licence statements in documents: a trained paragraph classifier, confirmed by templates.
 
-Column functions and Spark's own model classes only. A document is cut into lines and long
-lines into overlapping windows of words, so statements inside running text are
-seen. A window without any cue word (``CUES``) is no statement; the others are
-classified by sparse multinomial logistic regression on word 1- to 3-grams into
-licence families, "unknown" (a statement of another licence) and "none".
+Column functions and Spark's own model classes only. A document is cut into paragraphs (runs of lines
+that hold a word), the wrapped lines of each make one list of words, and overlapping windows
+slide over it. Every window is classified by sparse multinomial logistic regression on word 1- to
+3-grams into licence families, "unknown" (a statement of another licence) and "none".
+
+Most windows are told to be "none" without building their n-grams: ``gate_words`` derives from the
+model's weights a set of words without any of which no family can outweigh "none", whatever else
+is in the window. This is a bound on the score, not a rule of its own, so no window is lost.
 
 The training rows are made from the templates (words left out, running text
 around them) and from windows of the documents with and without stray cue words:
@@ -15,6 +18,7 @@ template's word pairs are found in the window, and is "unknown" otherwise.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -44,12 +48,14 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Released under GPLv3.",
     ),
     "GPL-2.0": (
         "Licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation; either version 2 of the License",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "Released under GPLv2.",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License.",
@@ -69,6 +75,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "Available under MPL 2.0.",
     ),
     "CC-BY-4.0": (
         "Licensed under CC BY 4.0.",
@@ -86,10 +93,14 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to "
         "this work to the public domain worldwide under CC0.",
         "Released under CC0 1.0 Universal.",
+        "Dedicated to the public domain.",
     ),
     "proprietary": (
         "All rights reserved.",
         "Copyright. All rights reserved. No part of this publication may be reproduced without written permission.",
+        "Alle Rechte vorbehalten.",
+        "Todos los derechos reservados.",
+        "Tous droits réservés.",
     ),
 }
 # Statements of other licences, the training rows of "unknown".
@@ -107,6 +118,7 @@ OTHERS = (
     "Released under the SIL Open Font License, Version 1.1.",
     "This content is made available under a custom license.",
 )
+# Words that the sampled windows of "none" must not hold, or hold one of, out of place.
 CUES = tuple(
     "license licence licensed licenced licenses licences licensing copyright copyrighted permission permitted "
     "warranty redistribution redistribute reserved spdx gpl lgpl agpl apache mit bsd mozilla creative commons "
@@ -117,11 +129,14 @@ WINDOW, STRIDE = 48, 24
 SAMPLE = 1_200
 VARIANTS = 40
 CONFIRMED = 0.6
+WORD = r"[\p{L}\p{N}]+(?:\.\p{N}+)*"
+# Rounding of a score is far below this.
+MARGIN = 1e-6
 
 
 def words_of(text: Column) -> Column:
     """Lower-case words; version numbers stay whole."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:\.\p{N}+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
 def _grams(words: Column) -> Column:
@@ -183,8 +198,46 @@ def _training(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str,
 class LicenseModel:
     """Vocabulary, classifier, families by class number, and the least probability for a name."""
 
-    def __init__(self, vectors: CountVectorizerModel, classifier: LogisticRegressionModel, families: list[str], least: float) -> None:
+    def __init__(
+        self, vectors: CountVectorizerModel, classifier: LogisticRegressionModel, families: list[str], least: float, usual: dict[str, int]
+    ) -> None:
         self.vectors, self.classifier, self.families, self.least = vectors, classifier, families, least
+        # In how many training windows of "none" a word is; only the choice of gate words depends on it.
+        self.usual = usual
+
+    def gate_words(self) -> list[str] | None:
+        """Words without any of which a window is "none"; None if the weights give no such set.
+
+        A family can outweigh "none" only if its lead over it is positive: the lead of the intercepts, plus that of
+        the window's n-grams. A word is left out of the set while, for every family, the intercepts and all
+        positive leads of n-grams made of left-out words alone still add up to no lead.
+        """
+        weights = self.classifier.coefficientMatrix.toArray()
+        bias = self.classifier.interceptVector.toArray()
+        none = self.families.index(NONE)
+        lead = np.maximum(weights - weights[none], 0.0)
+        total, others = bias - bias[none], np.arange(len(bias)) != none
+        if (total[others] >= 0).any():
+            return None
+        grams = [g.split(" ") for g in self.vectors.vocabulary]
+        of_word: dict[str, list[int]] = {}
+        for i, words in enumerate(grams):
+            if lead[:, i].any():
+                for word in set(words):
+                    of_word.setdefault(word, []).append(i)
+        # The words of most windows are left out first, so that few windows hold a gate word.
+        missing = {i: len(set(grams[i])) for own in of_word.values() for i in own}
+        gate = []
+        for word in sorted(of_word, key=lambda w: (-self.usual.get(w, 0), w)):
+            closed = [i for i in of_word[word] if missing[i] == 1]
+            more = total + lead[:, closed].sum(axis=1)
+            if (more[others] < -MARGIN).all():
+                total = more
+                for i in of_word[word]:
+                    missing[i] -= 1
+            else:
+                gate.append(word)
+        return gate
 
     def classify(self, df: DataFrame) -> DataFrame:
         """Add ``best`` (a family, unknown or none) and ``probability`` to rows with ``grams``."""
@@ -204,10 +257,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     families = sorted(r[0] for r in rows.select("family").distinct().collect())  # a fixed list
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     rows = rows.withColumn("label", number.cast("double"))
-    vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=3.0, vocabSize=1 << 13).fit(rows)
+    # The features are the notices' own n-grams: the running text around them is no evidence of a licence.
+    notices = _notices(docs.sparkSession).select(_grams(F.col("words")).alias("grams"))
+    vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=1 << 13).fit(notices)
     learner = LogisticRegression(family="multinomial", elasticNetParam=0.5, regParam=0.0005, maxIter=40)
     classifier = learner.fit(vectors.transform(rows.where("NOT held")).select("features", "label"))
-    model = LicenseModel(vectors, classifier, families, 0.0)
+    usual = (
+        rows.where(F.col("family") == NONE)
+        .select(F.explode(F.array_distinct("words")).alias("word"))
+        .where(F.col("word").isin(vectors.vocabulary))
+        .groupBy("word")
+        .count()
+        .collect()  # words of the vocabulary
+    )
+    model = LicenseModel(vectors, classifier, families, 0.0, {r["word"]: r["count"] for r in usual})
     held = model.classify(rows.where("held")).where(~F.col("best").isin(NONE, UNKNOWN))
     bins = held.groupBy(F.floor(F.col("probability") * 50).alias("bin")).agg(
         F.sum((F.col("family") == F.col("best")).cast("int")).alias("right"),
@@ -224,32 +287,65 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return model
 
 
-def scan(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, words, lines): the words of runs of lines that hold a word, and for each word the number of its line."""
+    by_line = F.transform(F.split(F.col(text_col), "\n"), words_of)
+    lines = docs.select(F.col(id_col), by_line.alias("_by_line"))
+    number = F.sequence(F.lit(0), F.size("_by_line") - 1)
+    full = lambda i: F.coalesce(F.size(F.get("_by_line", i)) > 0, F.lit(False))
+    begins = F.filter(number, lambda i: full(i) & ~full(i - 1))
+    ends = F.filter(number, lambda i: full(i) & ~full(i + 1))
+    run = lambda r: F.struct(
+        r["begin"].alias("line"), F.slice("_by_line", r["begin"] + 1, r["end"] - r["begin"] + 1).alias("by_line")
+    )
+    runs = lines.select(id_col, F.explode(F.transform(F.arrays_zip(begins.alias("begin"), ends.alias("end")), run)).alias("run"))
+    numbers = F.flatten(F.transform("run.by_line", lambda w, i: F.array_repeat(F.col("run.line") + i, F.size(w))))
+    return runs.select(id_col, F.flatten("run.by_line").alias("words"), numbers.alias("lines"))
+
+
+def scan(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text", gated: bool = True) -> DataFrame:
     """One row per window that states a licence: id, line, window, license, predicted, probability, similarity, confirmed, passage.
 
-    ``line`` counts from 0, ``window`` is the number of its first word. ``license`` is
-    the confirmed family or "unknown". Defined cases: NULL and empty texts give no rows;
-    lines of any length are scanned whole; repeated rows give repeated results; further
-    columns are ignored; an empty table gives an empty result.
+    ``line`` counts from 0 and is that of the window's first word; ``window`` is the number of that word in
+    its paragraph. ``license`` is the confirmed family, or that of a whole notice at the window's edge, or "unknown". Defined cases: NULL and empty texts give no rows;
+    paragraphs of any length are scanned whole; repeated rows give repeated results; further
+    columns are ignored; an empty table gives an empty result. ``gated=False`` gives the same rows, slower.
     """
-    cues = F.array(*map(F.lit, CUES))
-    lines = docs.select(F.col(id_col), F.posexplode(F.split(F.col(text_col), "\n")).alias("line", "_line"))
-    lines = lines.withColumn("_words", words_of(F.col("_line"))).where(F.arrays_overlap("_words", cues)).drop("_line")
-    last = F.greatest(F.size("_words") - (WINDOW - STRIDE), F.lit(1))
-    windows = lines.select(id_col, "line", "_words", F.explode(F.sequence(F.lit(0), last - 1, F.lit(STRIDE))).alias("window"))
-    windows = windows.select(id_col, "line", "window", F.slice("_words", F.col("window") + 1, WINDOW).alias("words"))
-    windows = windows.where(F.arrays_overlap("words", cues)).withColumn("grams", _grams(F.col("words")))
+    gate = model.gate_words() if gated else None
+    some = F.array(*map(F.lit, gate)).cast("array<string>") if gate is not None else None
+    holds = lambda words: F.arrays_overlap(words, some) if gate is not None else F.lit(True)
+    parts = _paragraphs(docs, id_col, text_col).where(holds(F.col("words")))
+    last = F.greatest(F.size("words") - (WINDOW - STRIDE), F.lit(1))
+    # Cut before the rows are multiplied, so that no window carries its whole paragraph along.
+    cut = F.transform(
+        F.sequence(F.lit(0), last - 1, F.lit(STRIDE)),
+        lambda i: F.struct(
+            F.get("lines", i).alias("line"),
+            i.alias("window"),
+            F.slice("words", i + 1, WINDOW).alias("words"),
+            F.slice("words", F.greatest(i - STRIDE, F.lit(0)) + 1, WINDOW + 2 * STRIDE).alias("context"),
+        ),
+    )
+    windows = parts.select(id_col, F.explode(F.filter(cut, lambda w: holds(w["words"]))).alias("w")).select(id_col, "w.*")
+    windows = windows.withColumn("grams", _grams(F.col("words")))
     found = model.classify(windows).where(F.col("best") != NONE)
-    # The templates are a fixed list of a few rows, so the join is a broadcast of a bounded table.
-    notices = _notices(docs.sparkSession).groupBy(F.col("family").alias("best")).agg(F.collect_list(_pairs(F.col("words"))).alias("_notices"))
-    own = F.coalesce("_notices", F.array().cast("array<array<string>>"))
-    likeness = F.array_max(F.transform(own, lambda n: F.size(F.array_intersect(n, F.col("_pairs"))) / F.size(n)))
-    compared = found.withColumn("_pairs", _pairs(F.col("words"))).join(F.broadcast(notices), "best", "left")
-    compared = compared.withColumn("similarity", F.coalesce(likeness, F.lit(0.0)))
+    # The templates are a fixed list of a few rows: one value for all windows.
+    listed = _notices(docs.sparkSession).where(F.col("family") != UNKNOWN).select("family", _pairs(F.col("words")).alias("pairs"))
+    notices = listed.agg(F.collect_list(F.struct("family", "pairs")).alias("n")).scalar()
+    # A notice that the window's edge cuts is compared as a whole.
+    share = lambda n: F.size(F.array_intersect(n["pairs"], F.col("_pairs"))) / F.size(n["pairs"])
+    compared = found.withColumn("_pairs", _pairs(F.col("context"))).withColumn("_notices", notices)
+    compared = compared.withColumn("_like", F.transform("_notices", lambda n: F.struct(share(n).alias("share"), n["family"].alias("family"))))
+    own = F.array_max(F.transform(F.filter("_like", lambda x: x["family"] == F.col("best")), lambda x: x["share"]))
+    compared = compared.withColumn("similarity", F.coalesce(own, F.lit(0.0))).withColumn("_most", F.array_max("_like"))
     confirmed = (F.col("similarity") >= CONFIRMED) & (F.col("probability") >= model.least)
+    # Not confirmed, but at the edge of a whole notice of another family: that one.
+    edge = (F.col("similarity") < CONFIRMED) & (F.col("_most.share") >= CONFIRMED)
     return compared.select(
-        id_col, "line", "window",
-        F.when(confirmed, F.col("best")).otherwise(UNKNOWN).alias("license"),
+        id_col,
+        "line",
+        "window",
+        F.when(confirmed, F.col("best")).when(edge, F.col("_most.family")).otherwise(UNKNOWN).alias("license"),
         F.col("best").alias("predicted"), "probability", "similarity", confirmed.alias("confirmed"),
         F.array_join("words", " ").alias("passage"),
     )
