@@ -1,10 +1,13 @@
 """Main text of pages and url verdicts."""
 
 import html as entities
+import math
 import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from hourgrid.llm import html_main, url_filter
 from hourgrid.llm.frames import table
 from hourgrid.llm.queries import URL_RULES
@@ -111,6 +114,52 @@ def test_segmentation():
     assert url_filter.host_words("m.ab-12.com", segmenter)[-2:] != [] and url_filter.NUMBER in url_filter.host_words("a12", segmenter)
 
 
+def test_joined_candidates_split_like_the_whole_table(spark, sf_dir):
+    """Each host gets the words that a split with all counts at hand gives it, long words and names too."""
+    pages = table(spark, sf_dir, "pages")
+    counts = url_filter.word_counts(pages, "url", "html")
+    long_word = "donaudampfschifffahrtsgesellschaft"
+    counts = counts.unionByName(spark.createDataFrame([(long_word, 40), ("zorp", 7)], "word string, n long"))
+    extra = [(f"www.my{long_word}zorp24.net",), ("9.8.7",), ("",), ("é-zorp.casinobonus." + "x" * 300,), (None,)]
+    hosts = pages.select(html_main.host_of(F.col("url")).alias("host")).unionByName(spark.createDataFrame(extra, "host string"))
+    hosts = hosts.where("host IS NOT NULL").distinct()
+    segmenter = url_filter.Segmenter({r["word"]: r["n"] for r in counts.collect()})
+    found = {r["host"]: r["words"] for r in url_filter.segment_hosts(hosts, counts).collect()}
+    assert set(found) == {r["host"] for r in hosts.collect()}
+    for host, words in found.items():
+        assert words == url_filter.host_words(host, segmenter)
+    assert long_word in found[extra[0][0]]
+
+
+def test_company_of_hidden_seeds_is_found(spark):
+    bad = [f"http://{s}-{w}zorp{k}.org/" for k, s in enumerate(url_filter.SEEDS) for w in ("", "win")]
+    good = [f"http://{g}garden{k}.org/" for k in range(60) for g in ("river", "city")]
+    words = [f"<title>{w}</title>" for w in ["zorp garden river city win"] * 10]
+    rows = [(i, u, words[i % 10]) for i, u in enumerate(bad + good)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["bad"]: (r["hosts"], r["blocked"]) for r in url_filter.hidden_seeds(pages).collect()}
+    assert found[True][1] >= 0.9 * found[True][0] > 0 and found[False][1] == 0
+
+
+def test_naive_bayes_equals_plain_counts(spark):
+    """Scores from plain counts of the distinct urls, with the words of the given splits."""
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(["http://casino-a.org/x", "http://b.org/x/y", "http://b.org/x/y", "http://c.org/casino", None])], "page_id long, url string")
+    hosts = {"casino-a.org": ["casino", "a", "org"], "b.org": ["b", "org"], "c.org": ["c", "org"], "": []}
+    distinct = {("casino-a.org", "/x"): ["x"], ("b.org", "/x/y"): ["x", "y"], ("c.org", "/casino"): ["casino"], ("", ""): []}
+    counts, classes = {True: {}, False: {}}, {True: 1, False: 1}
+    for (host, _), path in distinct.items():
+        bad = "casino" in hosts[host] + path
+        classes[bad] += 1
+        for w in hosts[host] + path:
+            counts[bad][w] = counts[bad].get(w, 0) + 1
+    used = len(counts[True].keys() | counts[False].keys())
+    share = lambda w, bad: (counts[bad].get(w, 0) + 0.5) / (sum(counts[bad].values()) + 0.5 * used)
+    prior = math.log(classes[True] / classes[False])
+    for r in url_filter.judge_urls(pages, html_col=None).collect():
+        words = hosts[r["host"]] + distinct[r["host"], r["path"]]
+        assert r["score"] == pytest.approx(prior + sum(math.log(share(w, True) / share(w, False)) for w in words), abs=1e-5)
+
+
 def test_empty_table_and_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "http://a.org/", "old", 2.0, "<title>x y</title>")], "page_id long, url string, host string, score double, html string")
     row = url_filter.judge_urls(pages).first()
