@@ -47,7 +47,7 @@ EXCERPT = 50
 # A window is followed up only if the benchmark has one with the same first words, so many of them.
 PREFIXES = (2, 4)
 LONGEST_KEPT = 64
-CACHE = 400_000
+CACHE = 80_000
 CHUNK = 1 << 21
 
 # Number words and units.
