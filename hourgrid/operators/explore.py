@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import struct
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.functions import clock
 from hourgrid.functions.measures import clip
 from hourgrid.schemas import TARGET
-from hourgrid.session import cut_lineage
+from hourgrid.session import cut_lineage, release, ship_code
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -117,87 +121,128 @@ def _stacked(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     return rows.where(F.col("value").isNotNull())
 
 
-def _doubles(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    numbers = {n: F.nanvl(F.col(n).cast("double"), F.lit(None).cast("double")) for n in names}
-    return _stacked(df, numbers)
+# Bits of a number's image that one pass of the selection settles.
+DIGIT = 16
 
 
-def _ranked_counts(stacked: DataFrame) -> DataFrame:
-    """Counted values of every column with their place in its order.
+def ordered_image(values: np.ndarray) -> np.ndarray:
+    """64-bit whole numbers in the order of the doubles; both zeros have the same."""
+    bits = (values + 0.0).view(np.uint64)
+    negative = bits >> np.uint64(63) == 1
+    return np.where(negative, ~bits, bits | np.uint64(1 << 63))
 
-    Values are counted first (map-side, so a value that fills a third of the
-    table is one row per task), range-partitioned in order, and written to the
-    checkpoint folder with their partition number. Ranks are then the rows of
-    earlier partitions plus a running count inside one: no task ever holds a
-    whole column. Runs a job for that write.
-
-    Adds ``_upto`` (rows up to and including the value), ``_total`` and ``_mean``.
-    """
-    counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    placed = cut_lineage(
-        counts.repartitionByRange("column_name", "value").withColumn("_part", F.spark_partition_id())
-    )
-    in_order = Window.partitionBy("column_name").orderBy("_part")
-    whole = Window.partitionBy("column_name")
-    # One row per column and range partition.
-    parts = (
-        placed.groupBy("column_name", "_part")
-        .agg(F.sum("n").alias("_part_n"), F.sum(F.col("n") * F.col("value")).alias("_part_sum"))
-        .select(
-            "column_name",
-            "_part",
-            (F.sum("_part_n").over(in_order) - F.col("_part_n")).alias("_earlier"),
-            F.sum("_part_n").over(whole).alias("_total"),
-            (F.sum("_part_sum").over(whole) / F.sum("_part_n").over(whole)).alias("_mean"),
-        )
-    )
-    inside = Window.partitionBy("column_name", "_part").orderBy("value")
-    return placed.join(parts, ["column_name", "_part"]).withColumn(
-        "_upto", F.col("_earlier") + F.sum("n").over(inside)
-    )
 
+def from_image(image: int) -> float:
+    bits = image & ~(1 << 63) if image >> 63 else ~image & 0xFFFF_FFFF_FFFF_FFFF
+    return struct.unpack("<d", struct.pack("<Q", bits))[0]
 
-def _quantile(p: float) -> Column:
-    """Linear interpolation between the two values around rank ``p * (n - 1)``."""
-    place = F.lit(float(p)) * (F.col("_total") - 1)
 
-    def at(rank: Column) -> Column:
-        holds = (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("n"))
-        return F.max(F.when(holds, F.col("value")))
+def select_ranks(numbers: DataFrame, wanted: dict[str, Sequence[int]]) -> dict[tuple[str, int], float]:
+    """The values of double columns at the wanted ranks, from 0, by radix selection.
 
-    low, high = at(F.floor(place)), at(F.ceil(place))
-    return low + (high - low) * F.max(place - F.floor(place))
+    Each value has a 64-bit image in the same order. A pass counts, inside the tasks, the next ``DIGIT`` bits
+    of the images that begin like a wanted one, and so settles these bits: four passes over the columns, whatever
+    the number of distinct values, and no value is shuffled. NULL and NaN have no rank.
+    """
+    spark = numbers.sparkSession
+    ship_code(spark)
+    names = list(wanted)
+    # Per column and rank: the bits so far, and the rank among the values that begin with them.
+    known = {(c, r): (0, r) for c in names for r in wanted[c]}
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        prefixes = [(c, p) for c in names for p in sorted({known[c, r][0] for r in wanted[c]})]
+
+        def count(batches: Iterator[pa.RecordBatch], shift: int = shift, prefixes: list = prefixes) -> Iterator[pa.RecordBatch]:
+            totals = [np.zeros(1 << DIGIT, np.int64) for _ in prefixes]
+            for batch in batches:
+                for place, name in enumerate(names):
+                    values = batch.column(place).drop_null().to_numpy(zero_copy_only=False)
+                    image = ordered_image(values[~np.isnan(values)])
+                    above = image >> np.uint64(shift + DIGIT) if shift + DIGIT < 64 else np.zeros(len(image), np.uint64)
+                    digit = (image >> np.uint64(shift)) & np.uint64((1 << DIGIT) - 1)
+                    for total, (column, prefix) in zip(totals, prefixes, strict=True):
+                        if column == name:
+                            total += np.bincount(digit[above == np.uint64(prefix)].astype(np.int64), minlength=1 << DIGIT)
+            for number, total in enumerate(totals):
+                seen = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(seen), number)), pa.array(seen), pa.array(total[seen])], ["prefix", "digit", "n"]
+                )
+
+        counts = numbers.select(*names).mapInArrow(count, "prefix long, digit long, n long")
+        counts = counts.groupBy("prefix", "digit").agg(F.sum("n").alias("n"))
+        # A prefix has at most 2 ** DIGIT digits, whatever it stands for.
+        upto = F.sum("n").over(Window.partitionBy("prefix").orderBy("digit"))
+        number = {p: i for i, p in enumerate(prefixes)}
+        asked = sorted({(number[c, known[c, r][0]], known[c, r][1]) for c, r in known})
+        ranks = spark.createDataFrame(asked, "prefix long, rank long")
+        placed = counts.withColumn("upto", upto).join(ranks, "prefix").where("rank < upto AND rank >= upto - n")
+        found = {(x["prefix"], x["rank"]): (x["digit"], x["rank"] - x["upto"] + x["n"]) for x in placed.collect()}
+        for key, (prefix, rank) in known.items():
+            digit, rest = found[number[key[0], prefix], rank]
+            known[key] = (prefix << DIGIT | digit, rest)
+    return {key: from_image(image) for key, (image, _) in known.items()}
+
+
+def _numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named columns as doubles, NaN as NULL, written once: every pass reads these files."""
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    return cut_lineage(df.select(*[number(c).alias(c) for c in names]))
+
+
+def _quantiles(numbers: DataFrame, counts: dict[str, int], probabilities: Sequence[float]) -> dict[tuple[str, float], float]:
+    """Linear interpolation between the two values around rank ``p * (n - 1)``."""
+    places = {(c, p): p * (n - 1) for c, n in counts.items() if n for p in probabilities}
+    ranks: dict[str, list[int]] = {}
+    for (c, _), place in places.items():
+        ranks[c] = sorted({*ranks.get(c, []), math.floor(place), math.ceil(place)})
+    if not ranks:
+        return {}
+    values = select_ranks(numbers, ranks)
+    found = {}
+    for (c, p), place in places.items():
+        low, high = values[c, math.floor(place)], values[c, math.ceil(place)]
+        found[c, p] = low + (high - low) * (place - math.floor(place))
+    return found
 
 
 def exact_quantiles(df: DataFrame, names: Sequence[str], probabilities: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact quantiles of every named column, one row per column."""
-    return (
-        _ranked_counts(_doubles(df, names))
-        .groupBy("column_name")
-        .agg(*[_quantile(p).alias(f"q{round(p * 100):02d}") for p in probabilities])
-    )
+    """Exact quantiles of every named column, one row per column that has a value."""
+    numbers = _numbers(df, names)
+    counts = numbers.agg(*[F.count(c).alias(c) for c in names]).first().asDict()
+    found = _quantiles(numbers, counts, probabilities)
+    rows = [(c, *(found[c, p] for p in probabilities)) for c in names if counts[c]]
+    fields = ", ".join(f"q{round(p * 100):02d} double" for p in probabilities)
+    release(numbers)
+    return df.sparkSession.createDataFrame(rows, f"column_name string, {fields}")
 
 
 def profile_numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles, max per numeric column: one scan of ``df``."""
-    n, gap = F.col("n"), F.col("value") - F.col("_mean")
-    total = F.max("_total")
-    q25, q50, q75 = (_quantile(p) for p in QUARTILES)
-    return (
-        _ranked_counts(_doubles(df, names))
-        .groupBy("column_name")
-        .agg(
-            total.alias("_n"),
-            F.max("_mean").alias("mean"),
-            F.sqrt(F.try_divide(F.sum(n * gap * gap), total - 1)).alias("std"),
-            F.min("value").alias("min"),
-            q25.alias("q25"),
-            q50.alias("q50"),
-            q75.alias("q75"),
-            F.max("value").alias("max"),
+    """count, mean, std, min, quartiles, max per numeric column: one scan of ``df``, further ones of the columns alone.
+
+    One row per column, so the result is made on the driver.
+    """
+    numbers = _numbers(df, names)
+    first = numbers.agg(
+        *[f(c).alias(f"{kind}_{i}") for i, c in enumerate(names) for kind, f in (("n", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max))]
+    ).first()
+    counts = {c: first[f"n_{i}"] for i, c in enumerate(names)}
+    # Squares of the distances to the mean, which is known by now: no loss of digits.
+    squares = numbers.agg(
+        *[F.sum(F.pow(F.col(c) - F.lit(first[f"mean_{i}"]), F.lit(2.0))).alias(f"s_{i}") for i, c in enumerate(names)]
+    ).first()
+    found = _quantiles(numbers, counts, QUARTILES)
+    release(numbers)
+    rows = [
+        (
+            c, counts[c], first[f"mean_{i}"], math.sqrt(squares[f"s_{i}"] / (counts[c] - 1)) if counts[c] > 1 else None,
+            first[f"min_{i}"], *(found[c, p] for p in QUARTILES), first[f"max_{i}"],
         )
-        .withColumnRenamed("_n", "n")
-    )
+        for i, c in enumerate(names)
+        if counts[c]
+    ]
+    schema = "column_name string, n long, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"

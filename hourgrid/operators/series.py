@@ -1,8 +1,9 @@
 """Lag, rolling-mean and calendar columns on the filled grid.
 
 Row offsets equal hour offsets only because the grid has no holes. All windows
-share one partitioning and one sort. A partition is one zone-month (at most 744
-rows) or, with ``across_months``, one zone's hours.
+share one partitioning and one sort. A partition is one zone-month, at most 744
+rows. With ``across_months`` the last hours of a month also go, to be looked back on only, to the
+zone's next month: at most ``LOOK_BACK`` rows more, so a zone's years are spread over many tasks.
 """
 
 from __future__ import annotations
@@ -22,9 +23,30 @@ LAG_HOURS = (1, 24, 168)
 ROLL_HOURS = (6, 24, 168)
 
 
-def series_window(across_months: bool = False) -> WindowSpec:
-    keys = ["pu_location"] if across_months else ["ingest_month", "pu_location"]
-    return Window.partitionBy(*keys).orderBy("hour_start")
+# Rows of an earlier month that a row can look back on: the longest lag or window.
+LOOK_BACK = max(*LAG_HOURS, *ROLL_HOURS)
+SEGMENT = "_segment"
+
+
+def series_window(segmented: bool = False) -> WindowSpec:
+    return Window.partitionBy(SEGMENT if segmented else "ingest_month", "pu_location").orderBy("hour_start")
+
+
+def with_look_back(df: DataFrame, hours: int = LOOK_BACK) -> DataFrame:
+    """``df`` with the month that each row serves in ``_segment``: its own, and the next one's look-back too.
+
+    Only rows of a month's last ``hours`` are there twice; no shuffle.
+    """
+    own = F.col("ingest_month")
+    following = F.add_months(own, 1)
+    late = F.col("hour_start") >= clock.add_hours(following.cast("timestamp_ntz"), -hours)
+    served = F.when(late, F.array(own, following)).otherwise(F.array(own))
+    return df.select("*", F.explode(served).alias(SEGMENT))
+
+
+def own_rows(df: DataFrame) -> DataFrame:
+    """Only the rows of each segment's own month."""
+    return df.where(F.col(SEGMENT) == F.col("ingest_month")).drop(SEGMENT)
 
 
 def lags(
@@ -34,7 +56,12 @@ def lags(
     across_months: bool = False,
 ) -> DataFrame:
     """Value ``n`` rows back in the series; NULL before its start."""
-    w = series_window(across_months)
+    if across_months:
+        return own_rows(_lags(with_look_back(df, max(hours)), hours, value, series_window(True)))
+    return _lags(df, hours, value, series_window())
+
+
+def _lags(df: DataFrame, hours: Sequence[int], value: str, w: WindowSpec) -> DataFrame:
     return df.withColumns({f"lag_{n}h": F.lag(value, n).over(w) for n in hours})
 
 
@@ -51,7 +78,12 @@ def rolling_means(
     NULL. Whole-number columns use differences of a running sum (exact, constant
     work per row however long the window); others use a sliding frame.
     """
-    w = series_window(across_months)
+    if across_months:
+        return own_rows(_rolling_means(with_look_back(df, max(hours)), hours, value, include_current, series_window(True)))
+    return _rolling_means(df, hours, value, include_current, series_window())
+
+
+def _rolling_means(df: DataFrame, hours: Sequence[int], value: str, include_current: bool, w: WindowSpec) -> DataFrame:
     if not isinstance(df.schema[value].dataType, IntegralType):
         frame = (lambda n: w.rowsBetween(1 - n, 0)) if include_current else (lambda n: w.rowsBetween(-n, -1))
         return df.withColumns({f"roll_{n}h": F.avg(value).over(frame(n)) for n in hours})
@@ -89,9 +121,9 @@ def demand_features(
     ``include_current=True`` gives the stored feature table; models that are later
     served recursively train with ``False``, as serving sees only earlier hours.
     """
-    with_lags = lags(filled, across_months=across_months)
-    with_means = rolling_means(with_lags, include_current=include_current, across_months=across_months)
-    return calendar(with_means).select(
+    rows, w = (with_look_back(filled) if across_months else filled), series_window(across_months)
+    with_means = _rolling_means(_lags(rows, LAG_HOURS, TARGET, w), ROLL_HOURS, TARGET, include_current, w)
+    return calendar(own_rows(with_means) if across_months else with_means).select(
         *DEMAND_KEY,
         TARGET,
         *[f"lag_{n}h" for n in LAG_HOURS],

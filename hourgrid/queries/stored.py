@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hourgrid import schemas
 from hourgrid.functions.clock import month_floor
-from hourgrid.plans import evaluate, forecast, layers
+from hourgrid.plans import evaluate, forecast, ingest, layers
 from hourgrid.queries import inputs
 from hourgrid.queries.changes import MONTHLY_SQL, _dearer, _monthly, _orders
 from hourgrid.queries.inputs import TRIPS_SQL, rounded, show_month, table, with_features
@@ -18,7 +18,7 @@ from hourgrid.queries.registry import query
 from hourgrid.queries.scores import PREDICTIONS_SQL, SPLIT, SPLIT_TIME, HORIZON, RUNS, _mart_and_predictions, _shown, errors_sql
 from hourgrid.queries.series import ROLLS, _two_months_sql
 from hourgrid.operators import demand, scoring
-from hourgrid.session import ensure_checkpoint_dir
+from hourgrid.session import ensure_checkpoint_dir, shared_folder
 from hourgrid.sources import scans, trip_files
 from hourgrid.tables import state, store
 
@@ -228,6 +228,57 @@ def load_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "load_range",
+    sql=f"""
+WITH {TRIPS_SQL}, m AS (
+  SELECT CAST('2024-01-01' AS VARCHAR) AS ingest_month, trip_distance > 3 AS used FROM trips
+  UNION ALL SELECT '2024-02-01', TRUE FROM trips
+  UNION ALL SELECT '2024-03-01', trip_distance > 5 FROM trips
+)
+SELECT ingest_month, count_if(used) AS n, 'success' AS status, count_if(used) AS row_count, ingest_month = '2024-01-01' AS loaded_again
+FROM m GROUP BY 1
+""",
+)
+def load_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three delivered months, one of them with a further column, loaded at once; then again after one has changed."""
+    folder = f"{shared_folder(spark)}/months-{uuid.uuid4().hex}"
+    database = scratch(spark, "load_range")
+    names = {"raw_table": f"{database}.raw", "state_table": f"{database}.log", "schema_mode": "merge"}
+    rows = inputs.trips(spark, sf_dir).drop("ingest_month").withColumnsRenamed(_file_names())
+    rows.write.parquet(trip_files.month_path(folder, 2024, 1))
+    rows.withColumn("Airport_Fee", F.col("total_amount")).write.parquet(trip_files.month_path(folder, 2024, 2))
+    rows.where("trip_distance > 5").write.parquet(trip_files.month_path(folder, 2024, 3))
+    last = dt.date(2024, 3, 1)
+    ingest.load_range(spark, folder, TWO_MONTHS[0], last, **names)
+    rows.where("trip_distance > 3").write.mode("overwrite").parquet(trip_files.month_path(folder, 2024, 1))
+    again = ingest.load_range(spark, folder, TWO_MONTHS[0], last, **names)
+    state.compact_log(spark, names["state_table"])
+    loaded = [m for m, n in again.items() if n is not None]
+    counts = spark.table(names["raw_table"]).groupBy("ingest_month").agg(F.count(F.lit(1)).alias("n"))
+    states = state.latest_state(spark.table(names["state_table"]))
+    states = states.select(F.make_date("year", "month", F.lit(1)).alias("ingest_month"), "status", "row_count")
+    joined = counts.join(states, "ingest_month").withColumn("loaded_again", F.col("ingest_month").isin(*loaded))
+    return show_month(joined)
+
+
+@query(
+    "scan_month",
+    sql=f"""
+WITH {TRIPS_SQL}
+SELECT pickup_ts AS tpep_pickup_datetime, dropoff_ts AS tpep_dropoff_datetime, pu_location AS pulocationid, trip_distance,
+       '2024-01-01' AS ingest_month FROM trips
+""",
+)
+def scan_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One delivered month, with lower-cased names and its month."""
+    folder = f"{shared_folder(spark)}/months-{uuid.uuid4().hex}"
+    rows = inputs.trips(spark, sf_dir).drop("ingest_month").withColumnsRenamed(_file_names())
+    rows.write.parquet(trip_files.month_path(folder, 2024, 1))
+    one = trip_files.scan_month(spark, folder, 2024, 1)
+    return show_month(one.select("tpep_pickup_datetime", "tpep_dropoff_datetime", "pulocationid", "trip_distance", "ingest_month"))
+
+
 def _file_names() -> dict[str, str]:
     return {
         "pickup_ts": "tpep_pickup_datetime",

@@ -7,12 +7,14 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.functions.clock import as_date
 from hourgrid.schemas import REQUIRED_SOURCE_COLUMNS
+from hourgrid.session import ship_code
 
 # Fixed value: the published naming of the monthly files.
 FILE_NAME = "yellow_tripdata_{year:04d}-{month:02d}.parquet"
@@ -74,32 +76,94 @@ def scan_month_range(
     last: dt.date,
     pattern: str = FILE_NAME,
 ) -> DataFrame:
-    """All months of a range; a column absent from some months is NULL there.
+    """All months of a range; a column absent from some months is NULL there."""
+    return scan_months(spark, month_paths(folder, first, last, pattern))
+
+
+def month_paths(folder: str, first: dt.date, last: dt.date, pattern: str = FILE_NAME) -> dict[dt.date, str]:
+    return {m: month_path(folder, m.year, m.month, pattern) for m in months_between(first, last)}
+
+
+def month_fingerprints(spark: SparkSession, paths: dict[dt.date, str], dataset: str) -> DataFrame:
+    """(dataset, year, month, file_sha256) of every month from one job; a folder of part files has the digest of theirs."""
+    listed = spark.createDataFrame(
+        [(dataset, m.year, m.month, path.rsplit("/", 1)[1]) for m, path in paths.items()],
+        "dataset string, year int, month int, name string",
+    )
+    parts = F.split("path", "/")
+    names = F.array(F.element_at(parts, -1), F.element_at(parts, -2))
+    prints = file_fingerprints(spark, list(paths.values())).select(F.explode(names).alias("name"), "file_sha256")
+    digests = listed.join(prints, "name").groupBy("dataset", "year", "month").agg(F.sort_array(F.collect_list("file_sha256")).alias("d"))
+    whole = F.when(F.size("d") == 1, F.get("d", F.lit(0))).otherwise(F.sha2(F.array_join("d", ""), 256))
+    return digests.select("dataset", "year", "month", whole.alias("file_sha256"))
+
+
+def scan_months(spark: SparkSession, paths: dict[dt.date, str]) -> DataFrame:
+    """The files of the given months; a column absent from some months is NULL there.
 
     Months of equal layout are one read over all their files, with the month taken from
     the file's name; only another layout (a column more, or of another type) adds a union.
     """
-    layouts: dict[str, list[tuple[dt.date, str]]] = {}
-    for m in months_between(first, last):
-        path = month_path(folder, m.year, m.month, pattern)
-        found = require_columns(lower_columns(spark.read.parquet(path))).schema
-        layouts.setdefault(found.json(), []).append((m, path))
     merged = None
-    for members in layouts.values():
-        df = spark.read.parquet(*[path for _, path in members])
-        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-        # A month may be a folder of part files: its name is then one level up.
-        above = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-        months = F.map_from_arrays(
-            F.array(*[F.lit(path.rsplit("/", 1)[1]) for _, path in members]),
-            F.array(*[F.lit(m.isoformat()).cast("date") for m, _ in members]),
-        )
-        month = F.coalesce(F.try_element_at(months, name), F.try_element_at(months, above))
-        tagged = lower_columns(df.withColumn("ingest_month", month))
+    for _, df in months_by_layout(spark, paths):
+        tagged = require_columns(lower_columns(df))
         merged = tagged if merged is None else merged.unionByName(tagged, allowMissingColumns=True)
     return merged
 
 
+def _read_layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """path → the path and its column names and types, from the file's footer alone."""
+    for batch in batches:
+        layouts = []
+        for path in batch.column("path").to_pylist():
+            store, inside = fs.FileSystem.from_uri(path)
+            with store.open_input_file(inside) as file:
+                layouts.append(pq.read_schema(file).remove_metadata().to_string(truncate_metadata=False, show_field_metadata=False))
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(layouts, pa.string())], ["path", "layout"])
+
+
+# Schemes of stores that tasks can open by themselves.
+OPENED_IN_TASKS = ("file", "hdfs", "s3", "s3a", "gs")
+
+
+def months_by_layout(spark: SparkSession, paths: dict[dt.date, str]) -> list[tuple[list[dt.date], DataFrame]]:
+    """For each layout its months and their rows, tagged with ``ingest_month``.
+
+    The footers of all files are read in the tasks of one job, and one row per layout reaches the driver. In a
+    store that only Spark can open, the layouts are those that Spark finds month by month.
+    """
+    by_name = {path.rsplit("/", 1)[1]: m for m, path in paths.items()}
+    listed = spark.read.format("binaryFile").load(list(paths.values())).select("path")
+    scheme = F.regexp_extract("path", r"^([a-z0-9]+):", 1)
+    if listed.where(~scheme.isin(*OPENED_IN_TASKS)).isEmpty():
+        ship_code(spark)
+        layouts = listed.mapInArrow(_read_layouts, "path string, layout string")
+        rows = layouts.groupBy("layout").agg(F.sort_array(F.collect_set("path")).alias("paths")).collect()
+        groups = [r["paths"] for r in rows]
+    else:
+        found: dict[str, list[str]] = {}
+        for path in paths.values():
+            found.setdefault(lower_columns(spark.read.parquet(path)).schema.json(), []).append(path)
+        groups = list(found.values())
+
+    # A month may be a folder of part files: its name is then one level up.
+    def month_of(path: str) -> dt.date:
+        above, name = path.split("/")[-2:]
+        return by_name[name] if name in by_name else by_name[above]
+
+    made = []
+    months = F.map_from_arrays(
+        F.array(*[F.lit(n) for n in by_name]), F.array(*[F.lit(m.isoformat()).cast("date") for m in by_name.values()])
+    )
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    above = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    month = F.coalesce(F.try_element_at(months, name), F.try_element_at(months, above))
+    for members in groups:
+        df = spark.read.parquet(*members).withColumn("ingest_month", month)
+        made.append((sorted({month_of(p) for p in members}), df))
+    return sorted(made, key=lambda x: x[0])
+
+
 CHUNK = 1 << 22
 
 

@@ -5,6 +5,7 @@ Appending keeps each change a small independent write; nothing is rewritten.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from hourgrid import schemas
 from hourgrid.functions.measures import truncate_text
 from hourgrid.operators.keyed import latest_per_key
+from hourgrid.session import cut_lineage, delete_folder, release
 from hourgrid.tables.store import align, create_table
 
 LOG_COLUMNS = schemas.INGESTION_STATE + ", logged_ns bigint"
@@ -55,6 +57,49 @@ def mark_running(
     _append(row, table)
 
 
+def mark_all_running(spark: SparkSession, table: str, dataset: str, files: dict[dt.date, tuple[str, str]]) -> None:
+    """``mark_running`` for several months (path and SHA-256 each) by one append."""
+    rows = [(dataset, m.year, m.month, path, sha, RUNNING) for m, (path, sha) in files.items()]
+    listed = spark.createDataFrame(rows, "dataset string, year int, month int, file_path string, file_sha256 string, status string")
+    _append(listed.withColumn("started_at", F.current_timestamp()), table)
+
+
+def mark_all_finished(
+    spark: SparkSession, table: str, dataset: str, counts: dict[dt.date, int], errors: dict[dt.date, str]
+) -> None:
+    """Success with a row count, or failure with its error, for several months by one append."""
+    ended = [(m.year, m.month, SUCCESS, n, None) for m, n in counts.items()]
+    ended += [(m.year, m.month, FAILED, None, text) for m, text in errors.items()]
+    listed = spark.createDataFrame(ended, "year int, month int, _status string, _count bigint, _error string")
+    own = latest_state(spark.table(table).where(F.col("dataset") == dataset))
+    changes = {
+        "status": F.col("_status"),
+        "row_count": F.col("_count"),
+        "error_message": truncate_text(F.col("_error"), ERROR_LENGTH),
+        "finished_at": F.current_timestamp(),
+    }
+    changed = own.join(F.broadcast(listed), ["year", "month"]).withColumns(changes)  # one row per month of a range
+    _append(changed.drop("_status", "_count", "_error"), table)
+
+
+def compact_log(spark: SparkSession, table: str) -> int:
+    """Rewrite the log's files to one with the newest entry per key; the number of entries.
+
+    The newest entries are appended once more, then the files from before are deleted: an entry that is there twice
+    counts once, so a reader finds a whole log at every moment, and entries appended meanwhile stay.
+    """
+    log = spark.table(table)
+    files = log.inputFiles()
+    kept = cut_lineage(latest_per_key(log, schemas.STATE_KEY, "logged_ns"))
+    align(kept.coalesce(1), table).write.mode("append").insertInto(table)
+    for path in files:
+        delete_folder(spark, path)
+    spark.catalog.refreshTable(table)
+    count = kept.count()
+    release(kept)
+    return count
+
+
 def update_by_key(
     spark: SparkSession, table: str, dataset: str, year: int, month: int, changes: dict[str, Column]
 ) -> None:

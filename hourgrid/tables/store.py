@@ -112,6 +112,36 @@ def replace_partition(
     return written
 
 
+def replace_partitions(
+    df: DataFrame, table: str, months: Sequence[dt.date], schema_mode: str = "strict"
+) -> dict[dt.date, int]:
+    """Make ``df`` the whole content of several months by one write; rows per month, counted on the way.
+
+    A row of another month stops the write before anything is replaced; months without rows are dropped.
+    """
+    spark = df.sparkSession
+    stated = F.col("ingest_month").cast("date")
+    stray = F.raise_error(F.concat(F.lit("a row outside the months: "), F.coalesce(stated.cast("string"), F.lit("none"))))
+    own = F.when(stated.isin(*months), stated).otherwise(stray)
+    seen = Observation()
+    rows = align(df.withColumn("ingest_month", own), table, schema_mode)
+    counts = [F.count_if(F.col("ingest_month") == F.lit(m)).alias(f"m{i}") for i, m in enumerate(months)]
+    _overwrite_partitions(rows.observe(seen, *counts), table)
+    written = {m: seen.get[f"m{i}"] for i, m in enumerate(months)}
+    for m, n in written.items():
+        if not n:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (ingest_month = DATE '{m}')")
+    return written
+
+
+def analyze_months(spark: SparkSession, table: str, months: Sequence[dt.date]) -> None:
+    """Refresh the row counts and sizes of the given months, in one statement for all partitions if there are several."""
+    if len(months) == 1:
+        analyze(spark, table, months[0])
+    else:
+        spark.sql(f"ANALYZE TABLE {table} PARTITION (ingest_month) COMPUTE STATISTICS NOSCAN")
+
+
 def _partition_values(df: DataFrame, parts: Sequence[str]) -> set[tuple]:
     """Distinct partition values; as few as the partitions the driver lists anyway."""
     return {tuple(row) for row in df.select(*parts).distinct().collect()}

@@ -16,6 +16,26 @@ def test_exact_quantiles_match_numpy(spark):
     assert row.n == 3000 and row.std == pytest.approx(values.std(ddof=1))
 
 
+def test_selected_ranks_equal_a_sort(spark):
+    rng = np.random.default_rng(8)
+    special = [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, float("inf"), float("-inf"), 1.0, np.nextafter(1.0, 2.0)]
+    values = np.concatenate([rng.normal(size=500) * 10.0 ** rng.integers(-300, 300, 500), special * 3])
+    rows = [(float(v), None if i % 5 == 0 else float(-v)) for i, v in enumerate(values)] + [(float("nan"), float("nan")), (None, None)]
+    numbers = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    got = explore.select_ranks(numbers, {"a": list(range(0, len(values), 13)), "b": [0, 200]})
+    in_order, other = np.sort(values), np.sort([r[1] for r in rows[:-2] if r[1] is not None])
+    assert all(got["a", r] == in_order[r] for r in range(0, len(values), 13))
+    assert got["b", 0] == other[0] and got["b", 200] == other[200]
+
+
+def test_profile_of_empty_and_single_columns(spark):
+    df = spark.createDataFrame([(1.5, None), (float("nan"), None)], "x double, y double")
+    rows = explore.profile_numeric(df, ["x", "y"]).collect()
+    assert [tuple(r) for r in rows] == [("x", 1, 1.5, None, 1.5, 1.5, 1.5, 1.5, 1.5)]
+    assert explore.exact_quantiles(df, ["x", "y"]).collect()[0].q50 == 1.5
+    assert explore.profile_numeric(df.where("false"), ["x"]).count() == 0
+
+
 def test_histogram_matches_numpy(spark, sf_dir):
     rows = inputs.table(spark, sf_dir, "lineitem")
     expected, edges = np.histogram(

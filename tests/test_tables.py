@@ -193,6 +193,62 @@ def test_load_months_end_to_end(spark, database, tmp_path):
     assert [(r.month, r.status, r.row_count) for r in newest.collect()] == [(2, "success", 30), (1, "success", 100)]
 
 
+def jobs_of(spark, action):
+    group = f"g{id(action)}"
+    spark.sparkContext.setJobGroup(group, group)
+    result = action()
+    spark.sparkContext.setJobGroup("", "")
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_range_loads_in_as_many_jobs_whatever_its_length(spark, database, tmp_path):
+    for k in range(24):
+        write_month(spark, tmp_path, f"{2023 + k // 12}-{k % 12 + 1:02d}-05", 3 + k % 2)
+    days = [dt.date(2023 + k // 12, k % 12 + 1, 1) for k in range(24)]
+    found = {}
+    for months in (2, 24):
+        options = {"raw_table": f"{database}.raw{months}", "state_table": f"{database}.log{months}"}
+        found[months] = jobs_of(spark, lambda o=options, n=months: ingest.load_range(spark, str(tmp_path), days[0], days[n - 1], **o))
+        assert found[months][0] == {d: 3 + i % 2 for i, d in enumerate(days[:months])}
+    assert found[24][1] == found[2][1]
+    log = state.latest_state(spark.table(f"{database}.log24"))
+    assert log.where("status = 'success'").count() == 24
+    _, again = jobs_of(spark, lambda: ingest.load_range(spark, str(tmp_path), days[0], days[-1], **options))
+    assert again < found[24][1]
+
+
+def test_a_range_records_the_month_that_fails(spark, database, tmp_path):
+    raw, log = f"{database}.raw", f"{database}.log"
+    options = {"raw_table": raw, "state_table": log}
+    write_month(spark, tmp_path, "2025-01-05", 10)
+    write_month(spark, tmp_path, "2025-02-05", 20, extra="zz_new_fee")
+    with pytest.raises(ValueError, match="zz_new_fee"):
+        ingest.load_range(spark, str(tmp_path), JAN, FEB, **options)
+    rows = {r.month: r for r in state.latest_state(spark.table(log)).collect()}
+    assert (rows[1].status, rows[1].row_count) == ("success", 10)
+    assert rows[2].status == "failed" and "zz_new_fee" in rows[2].error_message
+    assert spark.table(raw).count() == 10
+    assert ingest.load_range(spark, str(tmp_path), JAN, FEB, schema_mode="merge", **options) == {JAN: None, FEB: 20}
+    assert spark.table(raw).where("zz_new_fee = 0.75").count() == 20
+
+
+def test_log_compaction_keeps_the_newest_entries(spark, database):
+    log = f"{database}.log"
+    state.ensure_state(spark, log)
+    for month in (1, 2, 3):
+        state.mark_running(spark, log, "d", 2025, month, "p", f"s{month}")
+    state.mark_success(spark, log, "d", 2025, 1, 7)
+    state.mark_failed(spark, log, "d", 2025, 2, "broken")
+    before = sorted(map(tuple, state.latest_state(spark.table(log)).collect()))
+    assert len(spark.table(log).inputFiles()) >= 5
+    assert state.compact_log(spark, log) == 3
+    assert len(spark.table(log).inputFiles()) == 1
+    assert sorted(map(tuple, state.latest_state(spark.table(log)).collect())) == before
+    state.mark_success(spark, log, "d", 2025, 3, 9)
+    assert state.compact_log(spark, log) == 3
+    assert state.already_loaded(state.latest_state(spark.table(log)), "d", 2025, 3, "s3")
+
+
 def test_load_failures_are_recorded(spark, database, tmp_path):
     raw, log = f"{database}.raw_trips", f"{database}.state"
     options = {"raw_table": raw, "state_table": log}

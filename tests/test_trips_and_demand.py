@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -197,3 +198,25 @@ def test_prediction_without_truth(spark):
     assert (sparse.rows_joined, sparse.mae) == (1, 2.0)
     filled = scoring.mae_rmse(scoring.join_truth(predicted, grid.filled_demand(truth, JAN))).first()
     assert (filled.rows_joined, filled.mae) == (2, 2.5)
+
+
+def test_years_of_one_zone_use_many_window_partitions(spark):
+    from hourgrid.operators import series
+
+    hours = spark.range(24 * 365 * 2).select(
+        F.expr("timestamp_ntz'2023-01-01 00:00:00' + make_dt_interval(0, cast(id as int))").alias("hour_start"),
+        F.lit(7).alias("pu_location"),
+        F.pmod(F.xxhash64("id"), F.lit(50)).cast("int").alias("trip_count"),
+    )
+    filled = hours.withColumn("ingest_month", F.trunc(F.col("hour_start").cast("date"), "MM"))
+    for current in (True, False):
+        rows = series.demand_features(filled, include_current=current, across_months=True).orderBy("hour_start").toPandas()
+        counts = rows.trip_count
+        for n in series.LAG_HOURS:
+            assert rows[f"lag_{n}h"].fillna(-1).tolist() == counts.shift(n).fillna(-1).tolist()
+        for n in series.ROLL_HOURS:
+            want = (counts if current else counts.shift(1)).rolling(n, min_periods=1).mean()
+            assert rows[f"roll_{n}h"].fillna(-1).tolist() == pytest.approx(want.fillna(-1).tolist())
+    tagged = series.with_look_back(filled)
+    assert tagged.groupBy(series.SEGMENT).count().agg(F.max("count")).first()[0] == 744 + series.LOOK_BACK
+    assert tagged.count() == filled.count() + 24 * series.LOOK_BACK
