@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from hourgrid.llm.frames import Remembered
+
 LARGEST_FILE = 64 << 20
 # Words, and as many pieces between white space, whose ids a worker remembers: some 30 MB each.
-WORDS = 150_000
-LONGEST_KEPT = 48
+WORDS = 75_000
 # Texts of a record batch that are encoded before a batch of results is handed on, in characters.
 CHUNK = 4 << 20
 
@@ -125,21 +126,6 @@ def _word_pattern(spec: dict) -> regex.Pattern:
     return words
 
 
-class _Known(dict):
-    """Results of a function, kept for up to ``WORDS`` short arguments."""
-
-    def __init__(self, function: Callable[[str], bytes]) -> None:
-        self.function = function
-
-    def __missing__(self, key: str) -> bytes:
-        found = self.function(key)
-        if len(key) <= LONGEST_KEPT:
-            if len(self) >= WORDS:
-                self.clear()
-            self[key] = found
-        return found
-
-
 # White space of Python that is none of the pattern library.
 _SEPARATORS, _SPACE = regex.compile("[\x1c-\x1f]"), regex.compile(r"\s+")
 
@@ -171,7 +157,7 @@ class Vocabulary:
         self.last = [self.ids.get(s + self.end) for s in symbols]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self._pairs = [f"{a} {b}" for a, b in pairs]
-        self.known_words, self.known_chunks = _Known(self._word_bytes), _Known(self.encode_chunk)
+        self.known_words, self.known_chunks = Remembered(self._word_bytes, WORDS), Remembered(self.encode_chunk, WORDS)
 
     @functools.cached_property
     def by_rank(self) -> list[tuple[int, int, int]]:

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from hourgrid.llm import bloom
-from hourgrid.llm.frames import stage
+from hourgrid.llm.frames import Remembered, stage
 
 WINDOW = 8
 LITERALS = 4
@@ -46,8 +46,7 @@ MIN_COVERAGE = 0.5
 EXCERPT = 50
 # A window is followed up only if the benchmark has one with the same first words, so many of them.
 PREFIXES = (2, 4)
-LONGEST_KEPT = 64
-CACHE = 80_000
+CACHE = 50_000
 CHUNK = 1 << 21
 
 # Number words and units.
@@ -69,28 +68,19 @@ _FACTOR = np.uint64(0x100000001B3)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Bounded(dict):
-    """Kept results for up to ``CACHE`` short keys."""
-
-    def keep(self, key: str, value: bytes) -> bytes:
-        if len(key) <= LONGEST_KEPT:
-            if len(self) >= CACHE:
-                self.clear()
-            self[key] = value
-        return value
-
-
-class _Tokens(_Bounded):
-    """Token → its code, eight bytes.
+class _Codes:
+    """The codes of the tokens of texts, eight bytes each.
 
     A code is the hash of the lower-cased token without its last 4 bits, a bit for
     words that the benchmark lacks, as ``bits`` says, and the kind.
     """
 
-    def __init__(self, bits: np.ndarray | None) -> None:
+    def __init__(self, bits: np.ndarray | None = None) -> None:
+        self.bits = bits
         self.holds = bloom.single(bits) if bits is not None else None
+        self.tokens, self.chunks = Remembered(self._token, CACHE), Remembered(self._chunk, CACHE)
 
-    def __missing__(self, token: str) -> bytes:
+    def _token(self, token: str) -> bytes:
         low, first = token.lower(), token[0]
         if first in ".!?\n:":
             kind = _MARK
@@ -103,23 +93,16 @@ class _Tokens(_Bounded):
         code = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) & ~15
         if self.holds is not None and not self.holds(code):
             code |= _STRANGE
-        return self.keep(token, (code | kind).to_bytes(8, "little"))
-
-
-class _Codes(_Bounded):
-    """Text between blanks → the codes of its tokens."""
-
-    def __init__(self, bits: np.ndarray | None = None) -> None:
-        self.bits, self.tokens = bits, _Tokens(bits)
+        return (code | kind).to_bytes(8, "little")
 
-    def __missing__(self, chunk: str) -> bytes:
+    def _chunk(self, chunk: str) -> bytes:
         if chunk.isalpha():
-            return self.keep(chunk, self.tokens[chunk])
-        return self.keep(chunk, b"".join(map(self.tokens.__getitem__, _TOKEN.findall(chunk))))
+            return self.tokens[chunk]
+        return b"".join(map(self.tokens.__getitem__, _TOKEN.findall(chunk)))
 
     def of_text(self, text: str) -> bytes:
         """A text begins like a line; no token holds a blank."""
-        return b"".join(map(self.__getitem__, ["\n", *text.replace("\n", " \n ").split(" ")]))
+        return b"".join(map(self.chunks.__getitem__, ["\n", *text.replace("\n", " \n ").split(" ")]))
 
 
 _STRANGE = 8

@@ -44,6 +44,28 @@ def ship_code(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+class Remembered(dict):
+    """Results of ``make`` for short texts met lately, in a worker.
+
+    A full table becomes the old one and a new one is begun; what is met again moves over. So there are at most
+    twice ``most`` entries, and frequent texts stay however many rare ones pass.
+    """
+
+    def __init__(self, make: Callable[[str], object], most: int, longest: int = 48) -> None:
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
+
+    def __missing__(self, key: str) -> object:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write to the shared checkpoint folder and continue from the written files."""
     return cut_lineage(df)
