@@ -105,6 +105,11 @@ def _key(grams: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
+def _id(docs: DataFrame, id_col: str) -> Column:
+    """The id, whole numbers as longs."""
+    return F.col(id_col).cast("long") if isinstance(docs.schema[id_col].dataType, T.IntegralType) else F.col(id_col)
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """(members, classes): rows with their set's key, and one row per distinct set."""
     factors = _factors(bands * rows)
@@ -128,7 +133,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int
         T.StructField("bands", T.ArrayType(T.LongType())),
         T.StructField("sketch", T.BinaryType()),
     ]
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), _id(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     members = stage(computed(texts, ["text"], sketch, fields, ["text"]))
     same = members.where("grams > 0").groupBy("key1", "key2").agg(
         F.min("row").alias("cid"), F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")
@@ -254,7 +259,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
             made = {"key1": [k[0] for k in keys], "key2": [k[1] for k in keys], "set": [g.tobytes() for g in grams]}
             yield pd.DataFrame({"k": objects(batch["k"].tolist()), **{n: objects(v) for n, v in made.items()}})
 
-    texts = docs.select(F.xxhash64(F.col(id_col).cast("long")).alias("k"), F.col(text_col).alias("text"))
+    texts = docs.select(F.xxhash64(_id(docs, id_col)).alias("k"), F.col(text_col).alias("text"))
     sets = texts.mapInPandas(run, "k long, key1 long, key2 long, set binary")
     return sets.join(wanted.withColumn("k", F.xxhash64("rep")), ["k", "key1", "key2"])
 

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from hourgrid.llm.frames import stage, unit_hash
 
@@ -140,7 +141,7 @@ def mix_sources(
     ``taken`` is ``copies * size``. Rows are the same on every run for the same
     ids. Defined cases: NULL text has size 0 and is taken 0 words; a NULL source
     is a source of its own, last in order; rows with equal ids have equal luck
-    and are separated by their place in the input; a NULL or non-positive weight
+    and are separated by their place in the input; ids are of any type, rows without one have their text's luck; a NULL or non-positive weight
     counts as 0: such a document is taken only if every weight of its source is 0;
     an empty table gives an empty result; further columns are ignored.
     """
@@ -150,6 +151,8 @@ def mix_sources(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
             F.col(id_col).alias("id"),
+            # Rows without an id are told apart by their text; other rows have NULL here, which a hash passes over.
+            F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col))).alias("nameless"),
             source.isNull().cast("int").alias("no_source"),
             F.coalesce(source, F.lit("")).alias("source"),
             count_words(F.col(text_col)).alias("size"),
@@ -167,7 +170,9 @@ def mix_sources(
     wanted = F.least(F.when(F.col("flat"), F.col("rate")).otherwise(F.col("rate") * F.col("weight")), F.lit(float(max_copies)))
     whole = F.floor(F.col("wanted") + F.lit(1e-9))
     chance = F.least(F.greatest(F.col("wanted") - F.col("whole"), F.lit(0.0)), F.lit(1.0 - 1e-12))
-    luck = unit_hash(F.lit(seed), F.col("id"))
+    luck = unit_hash(F.lit(seed), F.col("id"), F.col("nameless"))
+    # Breaks ties of equal luck.
+    tie = F.col("id").cast("long") if isinstance(rows.schema["id"].dataType, IntegralType) else F.xxhash64("id")
     odds = (F.col("luck") / (1 - F.col("luck"))) / (F.col("chance") / (1 - F.col("chance")))
     ranked = stage(
         rows.join(plan.select(*keys, "rate", "flat"), keys)
@@ -179,7 +184,7 @@ def mix_sources(
             *keys, "size", "whole",
             F.struct(
                 F.when(F.col("chance") > 0, odds / (1 + odds)).otherwise(F.lit(1.5)).alias("v"),
-                F.col("id").cast("long").alias("id"), "row",
+                tie.alias("id"), "row",
             ).alias("place"),
             F.col("id").alias("out_id"),
         )

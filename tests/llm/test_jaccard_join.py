@@ -91,3 +91,12 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (300, 301), (301, 300)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[k] == 0 for k in range(41)) and all(got[k] == 100 for k in range(100, 160)) and got[301] == 300
+
+
+def test_ids_of_any_type(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [("b", text), ("a", text), ("c", text + " more"), ("d", "something else that is not alike at all"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {r["doc_id"]: r["class_id"] for r in jaccard_join.similar_groups(docs).collect()}
+    assert found == {"a": "a", "b": "a", "c": "a", "d": "d", None: None}
+    assert sorted(r["doc_id"] for r in jaccard_join.drop_similar(docs).collect() if r["doc_id"]) == ["a", "d"]

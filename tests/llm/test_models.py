@@ -43,13 +43,22 @@ def test_pieces_count_like_the_whole(monkeypatch, piece):
 
 def test_quality_of_held_out_rows(spark, sf_dir):
     label = {r["doc_id"]: r["quality"] for r in table(spark, sf_dir, "labels", "doc_id", "quality").collect()}
-    rows = queries()["op7_quality_pu"](spark, sf_dir).collect()
+    rows = [r for r in queries()["op7_quality_pu"](spark, sf_dir).collect() if r["held_out"]]
     good = [r["score"] for r in rows if label.get(r["doc_id"]) == 1]
     bad = [r["score"] for r in rows if label.get(r["doc_id"]) == 0]
     assert np.mean([g > b for g in good for b in bad]) > 0.95
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
 
 
+def test_toxicity_query_on_held_out_rows(spark, sf_dir):
+    label = {r["doc_id"]: r["toxic"] for r in table(spark, sf_dir, "labels", "doc_id", "toxic").collect()}
+    found = queries()["op8_toxicity_chain"](spark, sf_dir)
+    rows = found.collect()
+    assert len(rows) == table(spark, sf_dir, "documents").count() and {"doc_id", "held_out", "predicted"} <= set(found.columns)
+    held = [r for r in rows if r["held_out"] and label.get(r["doc_id"]) is not None]
+    assert held and np.mean([r["predicted"] == label[r["doc_id"]] for r in held]) > 0.9
+
+
 def test_quality_of_awkward_rows(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(1, 1), (8, 1), (3, 0), (None, 1), (6, None)], "doc_id long, quality int")

@@ -79,3 +79,12 @@ def test_unequal_weights_shift_the_chance(spark):
     heavy = sum(r["copies"] for r in mixed if r["doc_id"] < 2000 and r["doc_id"] % 2 == 1)
     assert heavy > 2 * light > 0
     assert abs(light + heavy - 400) <= 1
+
+
+def test_ids_of_any_type_and_rows_without_one(spark):
+    rows = [(f"id{i}", f"word {i} " * (i % 5 + 1), "a") for i in range(60)] + [(None, f"nameless {i} text", "a") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    one, two = (source_mix.mix_sources(d).select("doc_id", "size", "taken").collect() for d in (docs, docs.repartition(5)))
+    assert sorted(map(str, one)) == sorted(map(str, two)) and len(one) == 100
+    # Rows without an id do not share one luck: some are taken once, some twice.
+    assert len({r["taken"] for r in one if r["doc_id"] is None}) > 1
