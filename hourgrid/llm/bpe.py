@@ -32,8 +32,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from hourgrid.llm.frames import Remembered
 
 LARGEST_FILE = 64 << 20
-# Words, and as many pieces between white space, whose ids a worker remembers: some 30 MB each.
-WORDS = 75_000
+# Words, and as many pieces between white space, whose ids a worker remembers, twice at most: some 110 MB each.
+WORDS = 300_000
 # Texts of a record batch that are encoded before a batch of results is handed on, in characters.
 CHUNK = 4 << 20
 
