@@ -15,9 +15,13 @@ from hourgrid.operators.trips import clean_trips, first_per_key, trip_features
 from hourgrid.tables.store import analyze, create_table, replace_partition
 
 
-def _replace(spark: SparkSession, df, table: str, ddl: str, month: dt.date) -> int:
+# What the series of one zone is looked up by.
+ZONE_HOURS = ("pu_location", "hour_start")
+
+
+def _replace(spark: SparkSession, df, table: str, ddl: str, month: dt.date, cluster_by: tuple[str, ...] = ()) -> int:
     create_table(spark, table, ddl, partition_by=["ingest_month"])
-    count = replace_partition(df, table, month)
+    count = replace_partition(df, table, month, cluster_by=cluster_by)
     analyze(spark, table, month)
     return count
 
@@ -31,7 +35,7 @@ def build_trips(
 def build_demand(
     spark: SparkSession, month: dt.date, trips_table: str = "processed.trips", table: str = "marts.demand_zone_hour"
 ) -> int:
-    return _replace(spark, zone_hour_demand(spark.table(trips_table), month), table, schemas.DEMAND, month)
+    return _replace(spark, zone_hour_demand(spark.table(trips_table), month), table, schemas.DEMAND, month, ZONE_HOURS)
 
 
 def build_trip_features(
@@ -51,7 +55,7 @@ def build_demand_features(
 ) -> int:
     """Feature rows of the complete grid of ``month``, over every zone of the mart."""
     rows = month_features(spark.table(mart_table), month, include_current, across_months)
-    return _replace(spark, rows, table, schemas.DEMAND_FEATURES, month)
+    return _replace(spark, rows, table, schemas.DEMAND_FEATURES, month, ZONE_HOURS)
 
 
 def month_features(

@@ -290,3 +290,21 @@ def zone_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     busiest = explore.busiest_zones(rows, 1)
     series = scoring.zone_series(scoring.from_hour(rows, SPLIT), busiest, ["trip_count", "lag_24h", "roll_24h"], 240)
     return rounded(series, ["roll_24h"])
+
+
+@query(
+    "zone_series_of_run",
+    sql=with_features(
+        f"""SELECT p.pu_location, p.hour_start, t.trip_count, round(p.yhat, 6) AS yhat
+FROM predictions p JOIN filled t USING (hour_start, pu_location)
+WHERE p.model_name = 'roll_24h' AND p.pu_location = {BUSIEST_SQL} ORDER BY p.hour_start LIMIT 240""",
+        PREDICTIONS_SQL,
+    ),
+)
+def zone_series_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed and predicted values of the busiest zone in one stored run."""
+    _, filled, stored = _mart_and_predictions(spark, sf_dir)
+    run = scoring.of_run(stored, RUNS["roll_24h"], "roll_24h")
+    busiest = explore.busiest_zones(inputs.features(spark, sf_dir), 1)
+    series = scoring.zone_series(scoring.join_truth(run, filled), busiest, ["trip_count", "yhat"], 240)
+    return rounded(series, ["yhat"])

@@ -76,6 +76,32 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
 
 
+def clustered(df: DataFrame, table: str, cluster_by: Sequence[str]) -> DataFrame:
+    """``df`` laid out for a write: files, and the row groups in them, hold ranges of ``cluster_by`` inside each partition.
+
+    A filter on the first of these columns then skips what cannot match, which is what an index on it would do.
+    """
+    if not cluster_by:
+        return df
+    parts = partition_columns(df.sparkSession, table)
+    return df.repartitionByRange(*parts, *cluster_by).sortWithinPartitions(*parts, *cluster_by)
+
+
+def _within_key_ranges(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose keys lie between the batch's least and greatest values: no other can clash.
+
+    The bounds reach the scan, so row groups (and partitions, for a partition column) out of range are not read.
+    """
+    bounds = batch.agg(*[f(k).alias(f"{n}_{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    for i, k in enumerate(keys):
+        lo, hi = bounds[f"lo_{i}"], bounds[f"hi_{i}"]
+        if lo is None:
+            return target.where(F.lit(False))
+        kind = batch.schema[k].dataType
+        target = target.where(F.col(k).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind)))
+    return target
+
+
 def _overwrite_partitions(df: DataFrame, table: str) -> None:
     with session_setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         df.write.mode("overwrite").insertInto(table)
@@ -89,9 +115,9 @@ def bulk_append(df: DataFrame, table: str, schema_mode: str = "strict") -> int:
 
 
 def replace_partition(
-    df: DataFrame, table: str, month: dt.date | str, schema_mode: str = "strict"
+    df: DataFrame, table: str, month: dt.date | str, schema_mode: str = "strict", cluster_by: Sequence[str] = ()
 ) -> int:
-    """Make ``df`` the whole content of one month; returns its row count.
+    """Make ``df`` the whole content of one month, laid out by ``cluster_by``; returns its row count.
 
     ``ingest_month`` is added where it is absent; a row of another month stops the
     write before anything is replaced. A dynamic overwrite with no rows would leave
@@ -104,7 +130,8 @@ def replace_partition(
         own = F.when(stated.eqNullSafe(as_date(month)), stated).otherwise(stray)
     else:
         own = as_date(month)
-    rows, seen = _counted(align(df.withColumn("ingest_month", own), table, schema_mode))
+    rows = clustered(align(df.withColumn("ingest_month", own), table, schema_mode), table, cluster_by)
+    rows, seen = _counted(rows)  # behind the layout, whose sampling would count rows twice
     _overwrite_partitions(rows, table)
     written = seen.get["n_rows"]
     if written == 0:
@@ -168,14 +195,15 @@ def _in_partitions(df: DataFrame, parts: Sequence[str], values: set[tuple]) -> D
 def insert_ignore(df: DataFrame, table: str, keys: Sequence[str]) -> int:
     """Insert rows whose key is not stored yet, one per key.
 
-    When the key contains the partition columns, only the batch's partitions are read.
+    Of the table only what lies in the batch's ranges of key values is read; when the key contains
+    the partition columns, only the batch's partitions.
     """
     spark = df.sparkSession
     target, parts = spark.table(table), partition_columns(spark, table)
-    if not (parts and set(parts) <= set(keys)):
-        return bulk_append(new_rows(df, target, keys), table)
     batch = cut_lineage(df)
-    target = _in_partitions(target, parts, _partition_values(batch, parts))
+    if parts and set(parts) <= set(keys):
+        target = _in_partitions(target, parts, _partition_values(batch, parts))
+    target = _within_key_ranges(target, batch, [k for k in keys if k not in parts])
     count = bulk_append(new_rows(batch, target, keys), table)
     release(batch)
     return count
@@ -215,14 +243,21 @@ def upsert(df: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence
 
 
 def insert_select(df: DataFrame, table: str, keys: Sequence[str], not_null: Sequence[str] = ()) -> int:
-    """Insert rows; a key that repeats in the batch or is stored already is an error."""
+    """Insert rows; a key that repeats in the batch or is stored already is an error.
+
+    Of the table only what lies in the batch's ranges of key values is read.
+    """
     spark = df.sparkSession
     keys = list(keys)
-    check_constraints(df, keys=keys, not_null=[*keys, *not_null])
-    clash = df.join(spark.table(table).select(*keys), keys, "left_semi").select(*keys).limit(5).collect()
+    batch = cut_lineage(df)
+    check_constraints(batch, keys=keys, not_null=[*keys, *not_null])
+    stored = _within_key_ranges(spark.table(table).select(*keys), batch, keys)
+    clash = batch.join(stored, keys, "left_semi").select(*keys).limit(5).collect()
     if clash:
         raise ValueError(f"{table} already holds keys such as {clash}")
-    return bulk_append(df, table)
+    count = bulk_append(batch, table)
+    release(batch)
+    return count
 
 
 def check_constraints(df: DataFrame, keys: Sequence[str] = (), not_null: Sequence[str] = ()) -> None:

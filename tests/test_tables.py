@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourgrid.plans import ingest
+from hourgrid.session import session_setting
 from hourgrid.sources.scans import ingest_status, scan_table
 from hourgrid.sources.trip_files import file_fingerprints, lower_columns, month_path, months_between, scan_month_range
 from hourgrid.tables import state, store
@@ -193,6 +194,51 @@ def test_load_months_end_to_end(spark, database, tmp_path):
     assert [(r.month, r.status, r.row_count) for r in newest.collect()] == [(2, "success", 30), (1, "success", 100)]
 
 
+def test_clustered_months_skip_row_groups(spark, database):
+    import pyarrow.parquet as pq
+
+    name = f"{database}.clustered"
+    rows = spark.range(40_000).select(
+        F.expr("timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, cast(id % 700 as int))").alias("hour_start"),
+        F.pmod(F.xxhash64("id"), F.lit(100)).cast("int").alias("pu_location"),
+        F.col("id").cast("int").alias("trip_count"),
+    )
+    month = rows.withColumn("ingest_month", F.lit("2025-01-01").cast("date"))
+    store.create_like(month, name)
+    with_size = spark.conf.get("spark.sql.shuffle.partitions")
+    # So small a table would else be one file with one row group.
+    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        assert store.replace_partition(rows, name, "2025-01-01", cluster_by=("pu_location", "hour_start")) == 40_000
+    ranges = []
+    for path in spark.table(name).inputFiles():
+        file = pq.ParquetFile(path.removeprefix("file:"))
+        place = file.schema_arrow.names.index("pu_location")
+        for k in range(file.num_row_groups):
+            stats = file.metadata.row_group(k).column(place).statistics
+            ranges.append((stats.min, stats.max))
+    assert 1 < len(ranges) <= int(with_size)
+    # Every zone is in one or two row groups, not in all of them.
+    assert max(sum(lo <= z <= hi for lo, hi in ranges) for z in range(100)) <= 2
+    assert spark.table(name).where("pu_location = 7").count() == rows.where("pu_location = 7").count()
+
+
+def test_stored_keys_out_of_the_batch_are_not_read(spark, database):
+    name = f"{database}.keyed"
+    rows = spark.range(1000).select("id", F.lit("x").alias("v"))
+    store.create_like(rows, name, partition_by=())
+    assert store.insert_select(rows, name, ["id"]) == 1000
+    later = spark.range(1000, 1010).select("id", F.lit("y").alias("v"))
+    bounded = store._within_key_ranges(spark.table(name), later, ["id"])
+    plan = bounded._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,1000)" in plan and bounded.count() == 0
+    assert store.insert_select(later, name, ["id"]) == 10
+    with pytest.raises(ValueError, match="already holds"):
+        store.insert_select(spark.range(1009, 1011).select("id", F.lit("z").alias("v")), name, ["id"])
+    assert store.insert_ignore(spark.range(1005, 1020).select("id", F.lit("z").alias("v")), name, ["id"]) == 10
+    assert store.insert_ignore(rows.where("false"), name, ["id"]) == 0
+    assert spark.table(name).count() == 1020
+
+
 def jobs_of(spark, action):
     group = f"g{id(action)}"
     spark.sparkContext.setJobGroup(group, group)
