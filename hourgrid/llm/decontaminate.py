@@ -46,7 +46,7 @@ MIN_COVERAGE = 0.5
 EXCERPT = 50
 # A window is followed up only if the benchmark has one with the same first words, so many of them.
 PREFIXES = (2, 4)
-CACHE = 50_000
+CACHE = 150_000
 CHUNK = 1 << 21
 
 # Number words and units.
@@ -106,15 +106,14 @@ class _Codes:
 
 
 _STRANGE = 8
-_codes: dict[int, _Codes] = {0: _Codes()}
+_codes: dict[int, _Codes] = {}
 
 
 def _codes_for(bits: np.ndarray | None) -> _Codes:
-    """The token codes for one filter, kept in the worker while it is in use."""
-    key = id(bits) if bits is not None else 0
+    """The token codes for one filter, kept in the worker during a task."""
+    key = id(bits)
     if key not in _codes or _codes[key].bits is not bits:
-        for old in [k for k in _codes if k]:
-            del _codes[old]
+        _codes.clear()
         _codes[key] = _Codes(bits)
     return _codes[key]
 
@@ -358,6 +357,7 @@ def _windows_of(texts: DataFrame, bits: Broadcast | None, sizes: list[int], whol
                     *(pa.array(column) for column in prefixes.T),
                 ]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        _codes.clear()  # the worker's next task may be another operator's, which needs the memory
 
     return texts.where("text IS NOT NULL").mapInArrow(run, layout)
 
