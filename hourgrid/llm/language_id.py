@@ -33,6 +33,8 @@ PER_LANGUAGE = 600
 EPOCHS = 4
 SHARDS = 4
 PIECE = 1 << 20
+# A text's vector has up to BUCKETS entries: so many texts' vectors are held at once.
+ROWS_AT_ONCE = 64
 UNDETERMINED = "und"
 
 _LETTER: np.ndarray | None = None
@@ -151,11 +153,19 @@ def train(
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [gram_counts(t, buckets) for t in batch["text"]]
-            keep = [i for i, c in enumerate(made) if c is not None]
-            pairs = [vector(made[i], idf) for i in keep]
-            out = batch.iloc[keep][["place", "shard", "y", "fit"]]
-            yield out.assign(idx=objects([p[0].astype(np.int32) for p in pairs]).values, val=objects([p[1] for p in pairs]).values)
+            for begin in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.iloc[begin : begin + ROWS_AT_ONCE]
+                keep, idx, val = [], [], []
+                for i, text in enumerate(part["text"]):
+                    # The counts are as wide as the model and go with each text.
+                    counts = gram_counts(text, buckets)
+                    if counts is not None:
+                        found = vector(counts, idf)
+                        keep.append(i)
+                        idx.append(found[0].astype(np.int32))
+                        val.append(found[1])
+                out = part.iloc[keep][["place", "shard", "y", "fit"]]
+                yield out.assign(idx=objects(idx).values, val=objects(val).values)
 
     rows = stage(
         sample.mapInPandas(features, "place long, shard int, y int, fit boolean, idx array<int>, val array<float>")

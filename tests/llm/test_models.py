@@ -1,8 +1,10 @@
 """Language, quality and toxicity models: held-out accuracy and awkward rows."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from hourgrid.llm import language_id, linear, quality_pu, toxicity_chain
@@ -41,6 +43,28 @@ def test_pieces_count_like_the_whole(monkeypatch, piece):
     assert (language_id.gram_counts(text) == whole).all()
 
 
+def test_training_vectors_are_made_a_few_texts_at_a_time(spark, monkeypatch):
+    """The counts of a text are as wide as the model: a batch of them took half a gigabyte of a worker."""
+    frame, made = type(spark.range(0)), {}
+    true = frame.mapInPandas
+    monkeypatch.setattr(frame, "mapInPandas", lambda df, f, schema: (made.setdefault(f.__name__, f), true(df, f, schema))[1])
+    texts = [f"text number {k} about {'abcdefghij'[k % 10] * 3} things" for k in range(300)]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    language_id.train(docs, epochs=1)
+    batch = pd.DataFrame({"place": range(300), "shard": 0, "y": 0, "text": [*texts[:298], "12", ""], "fit": True})
+    tracemalloc.start()
+    try:
+        out = list(made["features"](iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+    rows = pd.concat(out)
+    assert rows["place"].tolist() == list(range(298))
+    for text, idx, val in zip(texts, rows["idx"], rows["val"], strict=False):
+        assert idx.tolist() == np.flatnonzero(language_id.gram_counts(text)).tolist()
+        assert (val * val).sum() == pytest.approx(1.0, abs=1e-5)
+
+
 def test_quality_of_held_out_rows(spark, sf_dir):
     label = {r["doc_id"]: r["quality"] for r in table(spark, sf_dir, "labels", "doc_id", "quality").collect()}
     rows = [r for r in queries()["op7_quality_pu"](spark, sf_dir).collect() if r["held_out"]]
